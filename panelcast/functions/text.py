@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,23 +13,23 @@ from pyspark.sql import types as T
 ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 
 
-@lru_cache(maxsize=1)
-def _combining_marks() -> dict[int, None]:
-    return {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
+def _folding(trim_and_lower: bool):
+    """An Arrow function that drops combining marks after NFKD.
 
+    The inner function holds all it needs, so executors do not have to import this package.
+    """
+    marks = {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
 
-def _without_marks(values: pd.Series) -> pd.Series:
-    return values.str.normalize("NFKD").str.translate(_combining_marks())
+    def fold(values: pd.Series) -> pd.Series:
+        if trim_and_lower:
+            values = values.str.strip().str.lower()
+        return values.str.normalize("NFKD").str.translate(marks)
 
+    return F.pandas_udf(fold, T.StringType())
 
-@F.pandas_udf(T.StringType())
-def _fold_key(values: pd.Series) -> pd.Series:
-    return _without_marks(values.str.strip().str.lower())
 
-
-@F.pandas_udf(T.StringType())
-def _fold_tag(values: pd.Series) -> pd.Series:
-    return _without_marks(values)
+_fold_key = _folding(trim_and_lower=True)
+_fold_tag = _folding(trim_and_lower=False)
 
 
 def _python_only_beyond_ascii(text: Column, native: Column, udf) -> Column:

@@ -90,14 +90,15 @@ def reconcile(
     """Forecasts next to what happened, with errors.
 
     A period uses the direct join where it matches at least ``min_ratio`` of the forecasts, else ids
-    resolved by name. Without name columns in ``actuals``, every period goes by id. The routes are one
-    row per period: they are kept, counted, and broadcast only if the count allows.
+    resolved by name. Without name columns in ``actuals``, every period goes by id. The direct join is
+    kept, as its rows are first counted and then used; the routes are one row per period, and are
+    broadcast only if their count allows.
     """
     require(forecasts, FORECAST_COLUMNS)
     if not set(NAME_KEYS) <= set(actuals.columns):
         merged = reconcile_by_id(resolve_ids(forecasts, names).resolved, actuals, period, target)
     else:
-        direct = reconcile_direct(forecasts, actuals, period, target)
+        direct = reconcile_direct(forecasts, actuals, period, target).persist()
         routes = period_routes(forecasts, direct, min_ratio, period).persist()
         by_name = checked_broadcast(routes.where("direct").select(period))
         by_id = checked_broadcast(routes.where("not direct").select(period))

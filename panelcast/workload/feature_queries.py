@@ -12,9 +12,9 @@ from panelcast.operators import conform as cf
 from panelcast.operators.enrich import attach_names
 from panelcast.operators.pairs import keep_competition, team_rows
 from panelcast.operators.rolling import FORM_ALL, FORM_LAST3, Lag, Roll, rolling_features, with_form_inputs
-from panelcast.operators.snapshot import current_form, last_period, latest_rows, latest_season, next_period_rows
+from panelcast.operators.snapshot import current_form, last_period, latest_rows, next_period_rows
 from panelcast.plans.model_table import EXTENDED_BASIC, MODEL_COLUMNS, engineered, model_table, time_split
-from panelcast.sources.tree import PERIOD_PATH
+from panelcast.sources.tree import PERIOD_PATH, one_season
 from panelcast.workload import roles
 from panelcast.workload.registry import query
 from panelcast.workload.roles import ROLES_SQL, rounded, table
@@ -279,7 +279,7 @@ def engineered_columns(spark, sf_dir):
 @query("time_split_counts", ROLES_SQL + """SELECT CASE WHEN gameweek <= 25 THEN 'train' ELSE 'test' END AS split,
   count(*) AS "rows", count(DISTINCT gameweek) AS periods FROM model WHERE season = '2024-B' GROUP BY 1""")
 def time_split_counts(spark, sf_dir):
-    train, test = time_split(latest_season(roles.form_model(spark, sf_dir)), roles.CUTOFF)
+    train, test = time_split(one_season(roles.form_model(spark, sf_dir), roles.CURRENT), roles.CUTOFF)
     sides = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return sides.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("gameweek").alias("periods"))
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from panelcast.operators.snapshot import latest_season
 from panelcast.plans import models
 from panelcast.plans.model_table import TARGET, engineered, model_table
+from panelcast.sources.tree import one_season
 from panelcast.workload import roles
 from panelcast.workload.registry import query
 from panelcast.workload.roles import ROLES_SQL
@@ -18,11 +18,11 @@ SMALL = models.Settings(forest_trees=5, scoring_trees=10, forest_depth=5, boost_
 def current_table(spark, sf_dir):
     """The engineered model table of the current season, kept because many fits read it."""
     table = model_table(roles.panel(spark, sf_dir), *roles.dimensions(spark, sf_dir))
-    return engineered(latest_season(table)).persist()
+    return engineered(one_season(table, roles.CURRENT)).persist()
 
 
 def names(spark, sf_dir):
-    return roles.names(spark, sf_dir).where(F.col("season") == roles.CURRENT)
+    return one_season(roles.names(spark, sf_dir), roles.CURRENT)
 
 
 @query("ridge_fit", ROLES_SQL + """, train AS (

@@ -23,10 +23,11 @@ from panelcast.operators.report import (
     worst_first,
 )
 from panelcast.operators.rolling import FORM_ALL
-from panelcast.operators.snapshot import latest_season, sum_by_entity
+from panelcast.operators.snapshot import sum_by_entity
 from panelcast.plans.models import best_row
-from panelcast.sources.sink import read_version, write_version
 from panelcast.session import scratch_path
+from panelcast.sources.sink import read_version, write_version
+from panelcast.sources.tree import one_season
 from panelcast.workload import roles
 from panelcast.workload.feature_queries import WIDE_MODEL
 from panelcast.workload.registry import query
@@ -39,7 +40,7 @@ def split_of(period):
 
 
 def current_model(spark, sf_dir):
-    return latest_season(roles.form_model(spark, sf_dir, FORM_ALL, columns=WIDE_MODEL))
+    return one_season(roles.form_model(spark, sf_dir, FORM_ALL, columns=WIDE_MODEL), roles.CURRENT)
 
 
 def naive(spark, sf_dir):
@@ -137,7 +138,7 @@ def rows_of_season(spark, sf_dir):
 
 
 def resolution(spark, sf_dir):
-    names = roles.names(spark, sf_dir).where(F.col("season") == roles.CURRENT)
+    names = one_season(roles.names(spark, sf_dir), roles.CURRENT)
     return resolve_ids(roles.naive_forecasts(spark, sf_dir), names)
 
 
@@ -179,8 +180,10 @@ def routes(spark, sf_dir):
 
 
 def reconciled(spark, sf_dir):
-    names = roles.names(spark, sf_dir).where(F.col("season") == roles.CURRENT)
-    rows = reconcile(roles.naive_forecasts(spark, sf_dir), roles.named_actuals(spark, sf_dir), names)
+    """The forecasts are kept: both routes read them, and they stand for a table that exists already."""
+    names = one_season(roles.names(spark, sf_dir), roles.CURRENT)
+    forecasts = roles.naive_forecasts(spark, sf_dir).persist()
+    rows = reconcile(forecasts, roles.named_actuals(spark, sf_dir), names)
     return rounded(rows, "error", "abs_error")
 
 
