@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,14 +17,27 @@ ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 def _folding(trim_and_lower: bool):
     """An Arrow function that drops combining marks after NFKD.
 
-    The inner function holds all it needs, so executors do not have to import this package.
+    The inner function holds all it needs, so executors do not have to import this package. Marks are
+    dropped with one table lookup over the characters of a whole batch.
     """
-    marks = {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
+    marks = [code for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))]
 
     def fold(values: pd.Series) -> pd.Series:
+        present = values.dropna()
+        if present.empty:
+            return values
         if trim_and_lower:
-            values = values.str.strip().str.lower()
-        return values.str.normalize("NFKD").str.translate(marks)
+            present = present.str.strip().str.lower()
+        present = present.str.normalize("NFKD")
+        is_mark = np.zeros(0x110000, dtype=bool)
+        is_mark[marks] = True
+        codes = np.frombuffer("".join(present).encode("utf-32-le"), dtype=np.uint32)
+        keep = ~is_mark[codes]
+        plain = codes[keep].tobytes().decode("utf-32-le")
+        ends = np.concatenate([[0], np.cumsum(keep)])[np.cumsum(present.str.len())]
+        starts = np.concatenate([[0], ends[:-1]])
+        folded = [plain[start:end] for start, end in zip(starts, ends)]
+        return pd.Series(folded, index=present.index, dtype=object).reindex(values.index)
 
     return F.pandas_udf(fold, T.StringType())
 
@@ -33,9 +47,8 @@ _fold_tag = _folding(trim_and_lower=False)
 
 
 def _python_only_beyond_ascii(text: Column, native: Column, udf) -> Column:
-    # Plain ASCII has no accents, so it stays in the JVM; the Arrow function sees null for it.
-    beyond = text.rlike(r"[^\x00-\x7F]")
-    return F.when(beyond, udf(F.when(beyond, text))).otherwise(native)
+    # Plain ASCII has no accents and stays in the JVM: the Arrow function gets and gives null for it.
+    return F.coalesce(udf(F.when(text.rlike(r"[^\x00-\x7F]"), text)), native)
 
 
 def comparison_key(text: Column) -> Column:

@@ -15,7 +15,6 @@ from panelcast.operators.enrich import entity_names
 from panelcast.operators.pairs import keep_competition, team_rows
 from panelcast.operators.rolling import FORM_LAST3, rolling_features, with_form_inputs
 from panelcast.plans.model_table import model_table
-from panelcast.session import checked_broadcast
 
 SEASONS = ("2024-A", "2024-B")
 PERIODS = 31
@@ -108,7 +107,6 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rating = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
         (F.round(F.sum("c_acctbal"), 2) / F.count(F.lit(1))).alias("elo")
     )
-    rating = checked_broadcast(rating)
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("home_team"))
     gw = F.col("gameweek")
     schedule = nation.withColumn("gameweek", F.explode(F.sequence(F.lit(1), F.lit(PERIODS)))).select(
