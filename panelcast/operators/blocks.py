@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelcast.session import checkpointed
+from panelcast.session import written
 
 # monotonically_increasing_id keeps the row number inside a partition in its low 33 bits.
 _LOCAL_BITS = (1 << 33) - 1
@@ -24,14 +24,15 @@ _LOCAL_BITS = (1 << 33) - 1
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "_row") -> DataFrame:
     """Add each row's position (from 0) in the order of ``order``, which must have no ties.
 
-    The range-partitioned rows are checkpointed: the partition sizes and the rows are read from the
-    same files, so positions cannot shift between the two reads or when a task runs again.
+    The range-partitioned rows are written out once: the partition sizes and the rows are read from
+    the same files, so positions cannot shift between the two reads or when a task runs again.
     """
-    placed = checkpointed(
+    placed = written(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)))
+        .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS))),
+        "numbered",
     )
     # One row per partition, so this window without partitions and the broadcast stay small.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

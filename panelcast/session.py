@@ -47,12 +47,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so a lost executor cannot change what was read."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as a table in the shared folder and read it back.
+
+    A lost executor cannot change rows that are already written, and later steps read only the
+    columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.sources.tree import list_files
 
 
-def write_periods(df: DataFrame, path: str, by: Sequence[str] = ("season", "gameweek"), file_format: str = "parquet") -> None:
-    """Write one folder per period and replace only the periods that ``df`` holds.
+def write_periods(df: DataFrame, path: str, by: Sequence[str] = ("season", "gameweek"), file_format: str = "parquet") -> int:
+    """Write one folder per period, replace only the periods that ``df`` holds, and return the rows written.
 
-    The rebalance hint lets Spark merge small periods into few files and split a very large one.
+    The rebalance hint lets Spark merge small periods into few files and split a very large one. The
+    count is observed during the write, without a second job.
     """
+    seen = Observation()
     (
-        df.hint("rebalance", *[F.col(c) for c in by])
+        df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .hint("rebalance", *[F.col(c) for c in by])
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
         .partitionBy(*by).format(file_format).save(path)
     )
+    return seen.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:

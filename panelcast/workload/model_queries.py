@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.plans import models
-from panelcast.plans.model_table import TARGET, engineered, model_table
+from panelcast.plans.model_table import FEATURE_SETS, TARGET, engineered, model_table, time_split
 from panelcast.sources.tree import one_season
 from panelcast.workload import roles
 from panelcast.workload.registry import query
 from panelcast.workload.roles import ROLES_SQL
 
-SMALL = models.Settings(forest_trees=5, scoring_trees=10, forest_depth=5, boost_rounds=5, max_bins=32)
+SMALL = models.Settings(boost_stop_rows=1000, forest_trees=5, scoring_trees=10, forest_depth=5, boost_rounds=5, max_bins=32)
 
 
 def current_table(spark, sf_dir):
@@ -84,3 +87,23 @@ def forest_top(spark, sf_dir):
 @query("forest_top_by_position")
 def forest_top_by_position(spark, sf_dir):
     return forecast(spark, sf_dir).top_by_position(["MACHINERY", "BUILDING", "HOUSEHOLD", "AUTOMOBILE"])
+
+
+@query("feature_set_rows", ROLES_SQL + """, wide AS (
+  SELECT *, team_elo - opp_elo AS elo_diff, form * is_home AS form_x_home FROM model WHERE season = '2024-B'),
+aligned AS (
+  SELECT *, pts_avg_last3 IS NOT NULL AND mins_avg_last3 IS NOT NULL AND played60_rate_last3 IS NOT NULL AND now_cost IS NOT NULL
+    AND selected_by_percent IS NOT NULL AND form IS NOT NULL AND team_elo IS NOT NULL AND opp_elo IS NOT NULL AS complete FROM wide)
+SELECT feature_set, n AS n_features_used, count(*) FILTER (WHERE gameweek <= 25) AS train, count(*) FILTER (WHERE gameweek > 25) AS test
+FROM aligned, (VALUES ('baseline', 11, false), ('extended_basic', 13, false), ('extended_interact', 15, true)) s(feature_set, n, interact)
+WHERE complete AND (NOT interact OR (elo_diff IS NOT NULL AND form_x_home IS NOT NULL)) GROUP BY 1, 2""")
+def feature_set_rows(spark, sf_dir):
+    """Rows on each side of the split that have every feature of the set."""
+    table = current_table(spark, sf_dir)
+    counts = []
+    for name, features in FEATURE_SETS.items():
+        train, test = time_split(models.aligned(table, features), roles.CUTOFF)
+        sides = train.select(F.lit(True).alias("early")).unionByName(test.select(F.lit(False).alias("early")))
+        counts.append(sides.agg(F.count_if("early").alias("train"), F.count_if(~F.col("early")).alias("test")).select(
+            F.lit(name).alias("feature_set"), F.lit(len(features)).alias("n_features_used"), "train", "test"))
+    return reduce(DataFrame.unionByName, counts)

@@ -104,8 +104,8 @@ def test_feeds(spark, tmp_path):
 def test_period_sink_replaces_only_its_periods(spark, tmp_path):
     path = str(tmp_path / "t")
     data = spark.range(100).select(F.lit("s").alias("season"), (F.col("id") % 5).cast("int").alias("gameweek"), "id")
-    sink.write_periods(data, path)
-    sink.write_periods(data.where("gameweek = 2").limit(3), path)
+    assert sink.write_periods(data, path) == 100
+    assert sink.write_periods(data.where("gameweek = 2").limit(3), path) == 3
     got = spark.read.parquet(path).groupBy("gameweek").count().orderBy("gameweek").collect()
     assert [r["count"] for r in got] == [20, 20, 3, 20, 20]
     sink.write_csv(data.limit(2), str(tmp_path / "c"))
