@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.session import checked_broadcast
+
 
 def with_errors(df: DataFrame, predicted: str = "predicted_points", actual: str = "event_points") -> DataFrame:
     """Add ``error`` (forecast minus actual) and ``abs_error``."""
@@ -56,5 +58,5 @@ def scatter_points(
 
 
 def pending(df: DataFrame, done: DataFrame, by: Sequence[str] = ("gameweek",)) -> DataFrame:
-    """The rows of periods that are not done yet."""
-    return df.join(done.select(*by).distinct(), list(by), "left_anti")
+    """The rows of periods that are not done yet. The list of done periods is counted before it is broadcast."""
+    return df.join(checked_broadcast(done.select(*by).distinct()), list(by), "left_anti")

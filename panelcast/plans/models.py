@@ -223,21 +223,24 @@ def forecast_next_period(
 ) -> Forecast | None:
     """Train on the finished periods of the latest season (or of ``seasons``) and score the next period.
 
-    None when there is nothing to train on or no fixture to score.
+    None when there is nothing to train on or no fixture to score. The model table is kept while the
+    newest period and the model are taken from it, and the rows to score stay kept for the result.
     """
-    table = engineered(model_table(panel, members, fixtures, strengths))
+    table = engineered(model_table(panel, members, fixtures, strengths)).persist()
     newest = table.agg(F.max(F.struct("season", "gameweek")).alias("newest")).first()["newest"]
     if newest is None:
+        table.unpersist()
         return None
     season, last_gw = newest["season"], newest["gameweek"]
     train = table.where(F.col("season").isin(list(seasons or [season])) & (F.col("gameweek") <= last_gw))
-    train = train.na.drop(subset=list(REQUIRED_VALUES)).persist()
-    upcoming = next_period_rows(panel, members, fixtures, strengths, season, last_gw)
+    train = train.na.drop(subset=list(REQUIRED_VALUES))
+    upcoming = next_period_rows(panel, members, fixtures, strengths, season, last_gw).persist()
     if aligned(train, features).isEmpty() or upcoming.isEmpty():
-        train.unpersist()
+        table.unpersist()
+        upcoming.unpersist()
         return None
     model = scoring_model(train, features, settings)
-    train.unpersist()
+    table.unpersist()
     scored = model.transform(as_doubles(upcoming, features))
     named = attach_names(scored, names)
     return Forecast(

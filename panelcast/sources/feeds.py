@@ -44,6 +44,9 @@ def live_points(live: DataFrame, *keep: str) -> DataFrame:
 
 
 def points_table(points: DataFrame, entities: DataFrame, teams: DataFrame) -> DataFrame:
-    """player_id, player_short_name, team_short_name, gameweek, event_points; unknown names are null."""
-    named = points.join(entities, ["player_id"], "left").join(teams, ["team_id"], "left")
-    return named.select("player_id", "player_short_name", "team_short_name", "gameweek", "event_points")
+    """player_id, player_short_name, team_short_name, gameweek, event_points; unknown names are null.
+
+    The two lists are joined first, so the points are joined once.
+    """
+    named = entities.join(teams, ["team_id"], "left")
+    return points.join(named, ["player_id"], "left").select("player_id", "player_short_name", "team_short_name", "gameweek", "event_points")
