@@ -86,12 +86,18 @@ def boosting(target: str, settings: Settings, rows: int) -> GBTRegressor:
     return estimator.setValidationIndicatorCol("held_out") if rows > settings.boost_stop_rows else estimator
 
 
-def regressors(train: DataFrame, target: str, settings: Settings) -> dict[str, object]:
-    return {
-        "Ridge": ridge(train, target, settings),
-        "RandomForest": forest(settings.forest_trees, target, settings),
-        "HistGBDT": boosting(target, settings, train.count()),
-    }
+MODELS = ("Ridge", "RandomForest", "HistGBDT")
+
+
+def regressor(name: str, train: DataFrame, target: str, settings: Settings):
+    """The estimator of one of ``MODELS``, with the parameters that depend on the training rows."""
+    if name == "Ridge":
+        return ridge(train, target, settings)
+    if name == "RandomForest":
+        return forest(settings.forest_trees, target, settings)
+    if name == "HistGBDT":
+        return boosting(target, settings, train.count())
+    raise ValueError(f"model must be one of {MODELS}, not {name!r}")
 
 
 @dataclass(frozen=True)
@@ -118,11 +124,12 @@ def model_grid(
     feature_sets: Mapping[str, Sequence[str]] = FEATURE_SETS,
     settings: Settings = Settings(),
     target: str = TARGET,
+    models: Sequence[str] = MODELS,
 ) -> list[Fitted]:
-    """Fit every regressor on every feature set up to the cutoff and measure both sides.
+    """Fit every model on every feature set up to the cutoff and measure both sides.
 
     ``table`` is the engineered model table of one season. A feature set without rows on either side
-    gives no result. The rows of a feature set are kept while its three models use them.
+    gives no result. The rows of a feature set are kept while its models use them.
     """
     results: list[Fitted] = []
     for set_name, features in feature_sets.items():
@@ -135,8 +142,8 @@ def model_grid(
         sides = {r["split"] for r in rows.select("split").distinct().collect()}
         if sides == {"train", "test"}:
             train = rows.where("split = 'train'")
-            for model_name, estimator in regressors(train, target, settings).items():
-                model = estimator.fit(train)
+            for model_name in models:
+                model = regressor(model_name, train, target, settings).fit(train)
                 mae = split_errors(model.transform(rows), target)
                 pipeline = PipelineModel([assembled, model])
                 results.append(Fitted(set_name, model_name, tuple(features), mae["train"], mae["test"], pipeline))

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.sources.tree import list_files
+from panelcast.sources.tree import CSV_OPTIONS, list_files
+
+# Text is written as it is, with its spaces.
+CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_periods(df: DataFrame, path: str, by: Sequence[str] = ("season", "gameweek"), file_format: str = "parquet") -> int:
@@ -20,7 +23,7 @@ def write_periods(df: DataFrame, path: str, by: Sequence[str] = ("season", "game
     (
         df.observe(seen, F.count(F.lit(1)).alias("rows"))
         .hint("rebalance", *[F.col(c) for c in by])
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
+        .write.mode("overwrite").options(partitionOverwriteMode="dynamic", **CSV_WRITE_OPTIONS if file_format == "csv" else {})
         .partitionBy(*by).format(file_format).save(path)
     )
     return seen.get["rows"]
@@ -28,7 +31,7 @@ def write_periods(df: DataFrame, path: str, by: Sequence[str] = ("season", "game
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and no index."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:

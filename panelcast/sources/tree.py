@@ -28,6 +28,9 @@ PERIOD_COLUMNS = {"season": (1, "string"), "gameweek": (2, "int")}
 SEASON_PATH = r"/([^/]+)/[^/]+$"
 SEASON_COLUMNS = {"season": (1, "string")}
 
+# Quotes inside quotes are doubled, as most CSV writers do.
+CSV_OPTIONS = {"header": True, "escape": '"'}
+
 
 class EmptySource(RuntimeError):
     """No readable file was found."""
@@ -83,9 +86,13 @@ def scan_tree(
     )
 
 
-def _read_group(spark, header, files, path_pattern, path_columns) -> DataFrame:
+def _read_text_columns(spark: SparkSession, header: Sequence[str], files: str | list[str]) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = spark.read.schema(schema).option("header", True).csv(list(files))
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(files)
+
+
+def _read_group(spark, header, files, path_pattern, path_columns) -> DataFrame:
+    rows = _read_text_columns(spark, header, files)
     path = F.col("_metadata.file_path")
     return rows.select(
         *[missing_to_null(F.col(f"`{c}`")).alias(c) for c in header if c not in path_columns],
@@ -124,10 +131,9 @@ def one_season(df: DataFrame, season: str) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, spec: Mapping[str, str], on_missing: str = "raise") -> DataFrame:
     """One CSV table (or files with one common header) as text, conformed to ``spec``."""
-    names = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.schema(schema).option("header", True).csv(path)
-    return conform(rows.select(*[missing_to_null(F.col(c)).alias(c) for c in names]), spec, on_missing)
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    rows = _read_text_columns(spark, names, path)
+    return conform(rows.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in names]), spec, on_missing)
 
 
 def with_int_period(df: DataFrame, period: str = "gameweek") -> DataFrame:
@@ -153,9 +159,8 @@ def scan_named_periods(
         raise EmptySource(f"no readable files behind {pattern}")
     parts = []
     for header, files in groups.items():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
         name = F.col("_metadata.file_name")
-        part = spark.read.schema(schema).option("header", True).csv(files).select(
+        part = _read_text_columns(spark, header, files).select(
             *[missing_to_null(F.col(f"`{c}`")).alias(c) for c in header],
             name.alias("file_name"),
             period_from_name(name, after=after, whole=whole).alias("file_period"),

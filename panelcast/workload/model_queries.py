@@ -13,7 +13,7 @@ from panelcast.plans.model_table import FEATURE_SETS, TARGET, engineered, model_
 from panelcast.sources.tree import one_season
 from panelcast.workload import roles
 from panelcast.workload.registry import query
-from panelcast.workload.roles import ROLES_SQL
+from panelcast.workload.roles import ROLES_SQL, rounded
 
 SMALL = models.Settings(boost_stop_rows=1000, forest_trees=5, scoring_trees=10, forest_depth=5, boost_rounds=5, max_bins=32)
 
@@ -28,25 +28,51 @@ def names(spark, sf_dir):
     return one_season(roles.names(spark, sf_dir), roles.CURRENT)
 
 
-@query("ridge_fit", ROLES_SQL + """, train AS (
-  SELECT pts_avg_last3 AS a, mins_avg_last3 AS b, event_points AS y FROM model
-  WHERE season = '2024-B' AND gameweek <= 25 AND pts_avg_last3 IS NOT NULL AND mins_avg_last3 IS NOT NULL),
+RIDGE_FEATURES = ("pts_avg_last3", "mins_avg_last3")
+RIDGE_SQL = ROLES_SQL + """, two AS (
+  SELECT *, pts_avg_last3 AS a, mins_avg_last3 AS b, event_points AS y FROM model
+  WHERE season = '2024-B' AND pts_avg_last3 IS NOT NULL AND mins_avg_last3 IS NOT NULL),
 moments AS (
   SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, count(*) * covar_pop(a, a) + 1 AS saa, count(*) * covar_pop(b, b) + 1 AS sbb,
-    count(*) * covar_pop(a, b) AS sab, count(*) * covar_pop(a, y) AS say, count(*) * covar_pop(b, y) AS sby FROM train),
+    count(*) * covar_pop(a, b) AS sab, count(*) * covar_pop(a, y) AS say, count(*) * covar_pop(b, y) AS sby FROM two WHERE gameweek <= 25),
 solved AS (
-  SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS ka, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS kb FROM moments)
-SELECT n AS "rows", round(ka, 5) AS points, round(kb, 5) AS minutes, round(my - ka * ma - kb * mb, 5) AS intercept FROM solved""")
+  SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS ka, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS kb FROM moments),
+scored AS (SELECT two.*, my + ka * (a - ma) + kb * (b - mb) AS predicted FROM two, solved)
+"""
+
+
+@query("ridge_fit", RIDGE_SQL + """SELECT n AS "rows", round(ka, 5) AS points, round(kb, 5) AS minutes,
+  round(my - ka * ma - kb * mb, 5) AS intercept FROM solved""")
 def ridge_fit(spark, sf_dir):
     """Ridge on two features; the SQL solves its two equations."""
-    features = ["pts_avg_last3", "mins_avg_last3"]
-    rows = models.aligned(current_table(spark, sf_dir).where(F.col("gameweek") <= roles.CUTOFF), features)
-    train = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
+    rows = models.aligned(current_table(spark, sf_dir).where(F.col("gameweek") <= roles.CUTOFF), RIDGE_FEATURES)
+    train = VectorAssembler(inputCols=list(RIDGE_FEATURES), outputCol="features").transform(rows)
     fitted = models.ridge(train, TARGET, models.Settings()).fit(train)
     facts = [F.round(F.lit(float(v)), 5).alias(n) for n, v in zip(("points", "minutes"), fitted.coefficients)]
     return train.agg(F.count(F.lit(1)).alias("rows")).select("rows", *facts, F.round(F.lit(fitted.intercept), 5).alias("intercept"))
 
 
+def ridge_grid(spark, sf_dir):
+    table = current_table(spark, sf_dir)
+    return table, models.model_grid(table, roles.CUTOFF, {"two": RIDGE_FEATURES}, models=["Ridge"])
+
+
+@query("ridge_mae", RIDGE_SQL + """SELECT CAST(0 AS INTEGER) AS ordinal, 'two' AS feature_set, 'Ridge' AS model, 2 AS n_features_used,
+  round(avg(abs(predicted - y)) FILTER (WHERE gameweek <= 25), 5) AS train_mae,
+  round(avg(abs(predicted - y)) FILTER (WHERE gameweek > 25), 5) AS test_mae FROM scored""")
+def ridge_mae(spark, sf_dir):
+    return rounded(models.grid_table(spark, ridge_grid(spark, sf_dir)[1]), "train_mae", "test_mae", digits=5)
+
+
+@query("ridge_residuals", RIDGE_SQL + """SELECT s.season, gameweek, id, player_name, team_short, position,
+  round(predicted, 5) AS predicted_points, y AS actual_points, round(predicted - y, 5) AS error, round(abs(predicted - y), 5) AS abs_error
+  FROM scored s LEFT JOIN names n ON n.season = s.season AND n.player_id = s.id WHERE gameweek = 30""")
+def ridge_residuals(spark, sf_dir):
+    table, results = ridge_grid(spark, sf_dir)
+    rows = models.residuals(table, models.best_of(results), names(spark, sf_dir), roles.CUTOFF, roles.EVAL_PERIOD)
+    return rounded(rows, "predicted_points", "error", "abs_error", digits=5)
+
+
 def grid(spark, sf_dir):
     table = current_table(spark, sf_dir)
     return table, models.model_grid(table, roles.CUTOFF, settings=SMALL)

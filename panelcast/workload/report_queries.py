@@ -206,7 +206,7 @@ def limits(spark, sf_dir):
   FROM reconciled GROUP BY 1, 2)
   SELECT gameweek, team_short, player_name, predicted_points, event_points, lo, hi FROM reconciled JOIN limits USING (gameweek, team_short)""")
 def points(spark, sf_dir):
-    return scatter_points(reconciled(spark, sf_dir))
+    return scatter_points(reconciled(spark, sf_dir).persist())
 
 
 @query("pending_periods", ROLES_SQL + """SELECT season, gameweek, id, event_points FROM panel p WHERE NOT EXISTS (

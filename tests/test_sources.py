@@ -84,6 +84,16 @@ def test_read_table(spark, tmp_path):
     assert [tuple(r) for r in tree.read_table(spark, f"{tmp_path}/t.csv", {"id": "long", "form": "double"}).collect()] == [(1, 0.5), (2, None)]
 
 
+def test_csv_text_survives(spark, tmp_path):
+    texts = ['Big "Al" Bo', "a,b", " padded ", "back\\slash", "Šeško"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, name string").coalesce(1)
+    sink.write_csv(rows, f"{tmp_path}/t")
+    got = tree.read_table(spark, f"{tmp_path}/t", {"id": "int"}).orderBy("id").collect()
+    assert [r["name"] for r in got] == texts
+    put(tmp_path / "s/players.csv", 'player_id,team_code,web_name\n1,2,"Big ""Al"" Bo"\n')
+    assert tree.scan_members(spark, str(tmp_path)).first()["web_name"] == 'Big "Al" Bo'
+
+
 def test_feeds(spark, tmp_path):
     put(tmp_path / "snapshot.json", json.dumps({
         "elements": [{"id": 1, "web_name": "Šeško", "team": 5}, {"id": 2, "web_name": "Bo", "team": 6}, {"id": 4, "web_name": "Cy"}],
