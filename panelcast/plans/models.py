@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -125,11 +127,13 @@ def model_grid(
     settings: Settings = Settings(),
     target: str = TARGET,
     models: Sequence[str] = MODELS,
+    parallelism: int = 3,
 ) -> list[Fitted]:
     """Fit every model on every feature set up to the cutoff and measure both sides.
 
     ``table`` is the engineered model table of one season. A feature set without rows on either side
-    gives no result. The rows of a feature set are kept while its models use them.
+    gives no result. The rows of a feature set are kept while its models use them; up to ``parallelism``
+    models are fitted at a time.
     """
     results: list[Fitted] = []
     for set_name, features in feature_sets.items():
@@ -142,11 +146,16 @@ def model_grid(
         sides = {r["split"] for r in rows.select("split").distinct().collect()}
         if sides == {"train", "test"}:
             train = rows.where("split = 'train'")
-            for model_name in models:
+
+            @inheritable_thread_target(table.sparkSession)
+            def fitted(model_name: str) -> Fitted:
                 model = regressor(model_name, train, target, settings).fit(train)
                 mae = split_errors(model.transform(rows), target)
                 pipeline = PipelineModel([assembled, model])
-                results.append(Fitted(set_name, model_name, tuple(features), mae["train"], mae["test"], pipeline))
+                return Fitted(set_name, model_name, tuple(features), mae["train"], mae["test"], pipeline)
+
+            with ThreadPoolExecutor(parallelism) as pool:
+                results.extend(pool.map(fitted, models))
         rows.unpersist()
     return results
 
