@@ -117,17 +117,17 @@ def rolling_features(
         return _over_whole_table(df, specs, keys, order, block_rows)
     if mode != "entity":
         raise ValueError(f"mode must be entity or global, not {mode!r}")
-    plain = lambda part: part.withColumns(_past_only(specs, W.partitionBy(*keys).orderBy(*order)))
+    features = _past_only(specs, W.partitionBy(*keys).orderBy(*order))
     if hot_rows is None:
-        return plain(df)
+        return df.withColumns(features)
     # Map-side partial counts make this pass cheap for any skew; at most rows / hot_rows keys qualify.
     counts = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > hot_rows).drop("_n").persist()
     if hot.isEmpty():
-        return plain(df)
+        return df.withColumns(features)
     hot = checked_broadcast(hot)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    cold = plain(df.join(hot, same, "left_anti"))
+    cold = df.join(hot, same, "left_anti").withColumns(features)
     return cold.unionByName(_in_blocks(df.join(hot, same, "left_semi"), specs, keys, order, block_rows))
 
 

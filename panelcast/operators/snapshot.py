@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -53,7 +53,10 @@ def current_form(
     """
     df = with_absent_as_null(df, dict.fromkeys(snapshot, "string"))
     rows = latest_rows(df.select(*keys, *order, "event_points", "minutes", *snapshot), keys, order, tail)
-    newest = lambda c: F.max(F.when(F.col("_rank") == 1, F.col(c)))
+
+    def newest(column: str) -> Column:
+        return F.max(F.when(F.col("_rank") == 1, F.col(column)))
+
     return rows.groupBy(*keys).agg(
         newest("event_points").alias("pts_prev_gw"),
         F.avg("event_points").alias(f"pts_avg_last{tail}"),

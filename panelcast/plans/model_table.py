@@ -60,11 +60,8 @@ def engineered(df: DataFrame) -> DataFrame:
     df = percent_columns(df, SNAPSHOT_COLUMNS)
     had = set(df.columns)
     df = with_absent_as_null(df, dict.fromkeys(("team_elo", "opp_elo", "form", "is_home"), "double"))
-    number = lambda c: to_number(F.col(c), df.schema[c].dataType)
-    df = df.withColumns({
-        "elo_diff": F.col("team_elo") - F.col("opp_elo"),
-        "form_x_home": number("form") * number("is_home"),
-    })
+    form, is_home = (to_number(F.col(c), df.schema[c].dataType) for c in ("form", "is_home"))
+    df = df.withColumns({"elo_diff": F.col("team_elo") - F.col("opp_elo"), "form_x_home": form * is_home})
     return df.select(*[c for c in df.columns if c in had or c in ("elo_diff", "form_x_home")])
 
 

@@ -33,8 +33,9 @@ def snapshot_teams(snapshot: DataFrame) -> DataFrame:
 
 def snapshot_sizes(snapshot: DataFrame) -> DataFrame:
     """How many entities and teams the documents list."""
-    size = lambda c: F.coalesce(F.sum(F.coalesce(F.size(c), F.lit(0))), F.lit(0)).alias(c)
-    return snapshot.agg(size("elements"), size("teams"))
+    return snapshot.agg(*[
+        F.coalesce(F.sum(F.coalesce(F.array_size(c), F.lit(0))), F.lit(0)).alias(c) for c in ("elements", "teams")
+    ])
 
 
 def live_points(live: DataFrame, *keep: str) -> DataFrame:

@@ -316,14 +316,18 @@ def newest_period(spark, sf_dir):
     return last_period(roles.form_model(spark, sf_dir))
 
 
-@query("next_period_rows", ROLES_SQL + f""", {CURRENT_FORM_SQL}
-  SELECT c.season, CAST(31 AS INTEGER) AS gameweek, c.id, {sql_rounded(*LAST3)}, now_cost, selected_by_percent, form,
-    f.is_home, f.team_elo, f.opp_elo,
+NEXT_SQL = f""", {CURRENT_FORM_SQL}, next_rows AS (
+  SELECT c.*, CAST(31 AS INTEGER) AS gameweek, f.is_home, f.team_elo, f.opp_elo,
     CASE WHEN f.is_home = 1 THEN t.strength_defence_away ELSE t.strength_defence_home END AS opp_def_strength, m.team_code, f.opp_code
   FROM current_form c JOIN members m ON m.season = c.season AND m.player_id = c.id
   JOIN fixtures f ON f.season = c.season AND f.gameweek = (SELECT max(gameweek) + 1 FROM panel) AND f.team_code = m.team_code
   LEFT JOIN teams t ON t.season = c.season AND t.team_code = f.opp_code
-  WHERE c.season = (SELECT max(season) FROM panel)""")
+  WHERE c.season = (SELECT max(season) FROM panel))
+"""
+
+
+@query("next_period_rows", ROLES_SQL + NEXT_SQL + f"""SELECT season, gameweek, id, {sql_rounded(*LAST3)}, now_cost, selected_by_percent, form,
+  is_home, team_elo, opp_elo, opp_def_strength, team_code, opp_code FROM next_rows""")
 def upcoming_rows(spark, sf_dir):
     rows = next_period_rows(roles.panel(spark, sf_dir), *roles.dimensions(spark, sf_dir))
     return rounded(rows.select("season", "gameweek", "id", *EXTENDED_BASIC), *LAST3)

@@ -12,6 +12,7 @@ from panelcast.plans import models
 from panelcast.plans.model_table import FEATURE_SETS, TARGET, engineered, model_table, time_split
 from panelcast.sources.tree import one_season
 from panelcast.workload import roles
+from panelcast.workload.feature_queries import NEXT_SQL
 from panelcast.workload.registry import query
 from panelcast.workload.roles import ROLES_SQL, rounded
 
@@ -105,6 +106,13 @@ def forest_score(spark, sf_dir):
     return forecast(spark, sf_dir).export()
 
 
+@query("forest_score_rows", ROLES_SQL + NEXT_SQL + """SELECT gameweek, player_name, n.team_short, n.position
+  FROM next_rows r LEFT JOIN names n ON n.season = r.season AND n.player_id = r.id""")
+def forest_score_rows(spark, sf_dir):
+    """Who gets a forecast: one row per entity and fixture, without the values of the trees."""
+    return forecast(spark, sf_dir).export().drop("predicted_points")
+
+
 @query("forest_top")
 def forest_top(spark, sf_dir):
     return forecast(spark, sf_dir).top()

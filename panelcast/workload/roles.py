@@ -7,7 +7,7 @@ so some teams have no fixture in a period and some have two.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.operators.conform import percent_columns
@@ -48,15 +48,20 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def season_of(period):
+def season_of(period: Column) -> Column:
     return F.when(period <= 15, F.lit(SEASONS[0])).otherwise(F.lit(SEASONS[1]))
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per season, user and day. Sums are rounded to cents, so their order does not matter."""
     events = table(spark, sf_dir, "events").withColumn("gameweek", F.dayofmonth("ts"))
-    value_of = lambda kind: F.round(F.sum(F.when(F.col("event_type") == kind, F.col("value"))), 2)
-    count_of = lambda kind: F.count_if(F.col("event_type") == kind)
+
+    def value_of(kind: str) -> Column:
+        return F.round(F.sum(F.when(F.col("event_type") == kind, F.col("value"))), 2)
+
+    def count_of(kind: str) -> Column:
+        return F.count_if(F.col("event_type") == kind)
+
     key = F.get_json_object("props", "$.k").cast("int")
     return (
         events.groupBy(season_of(F.col("gameweek")).alias("season"), F.col("user_id").alias("id"), "gameweek")
