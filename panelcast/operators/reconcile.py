@@ -4,31 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.text import comparison_key
-from panelcast.operators.conform import require
+from panelcast.operators.conform import conform, require, resolve_alias
 from panelcast.operators.report import with_errors
+from panelcast.operators.snapshot import latest_season
 from panelcast.session import checked_broadcast
 
 NAME_KEYS = ("player_name", "team_short")
 FORECAST_COLUMNS = ("gameweek", "player_name", "team_short", "position", "predicted_points")
 
 
+# Other names under which actuals tables hold the id and the target.
+ID_ALIASES = ("player_id", "element", "playerId")
+TARGET_ALIASES = ("total_points", "gw_points", "points")
+
+
+def prepare_actuals(df: DataFrame, period: str = "gameweek", target: str = "event_points") -> DataFrame:
+    """The rows of the latest season with id, period and target under their usual names and types."""
+    df = require(df, ["season", period])
+    df = resolve_alias(resolve_alias(df, "id", ID_ALIASES), target, TARGET_ALIASES)
+    return latest_season(conform(df, {"season": "string", period: "int", "id": "long", target: "double"}))
+
+
 def with_comparison_keys(df: DataFrame, columns: Sequence[str] = NAME_KEYS, prefix: str = "_key_") -> DataFrame:
     return df.withColumns({f"{prefix}{c}": comparison_key(F.col(c)) for c in columns})
 
 
 @dataclass(frozen=True)
 class Resolution:
-    """Forecasts with an id, those without, and those whose name fits several ids (one row per id)."""
+    """Forecasts left-joined to ids, and the forecasts whose name fits several ids (one row per id)."""
 
-    resolved: DataFrame
-    unresolved: DataFrame
+    joined: DataFrame
     ambiguous: DataFrame
+    entity: str = "id"
+
+    @property
+    def resolved(self) -> DataFrame:
+        return self.joined.where(F.col(self.entity).isNotNull())
+
+    @property
+    def unresolved(self) -> DataFrame:
+        return self.joined.where(F.col(self.entity).isNull()).drop(self.entity)
 
     def samples(self, n: int = 10) -> DataFrame:
         """A few unresolved names for the report."""
@@ -36,9 +56,11 @@ class Resolution:
 
     def counts(self) -> DataFrame:
         """Rows by outcome; ambiguous forecasts are among the resolved ones."""
-        parts = {"resolved": self.resolved, "unresolved": self.unresolved, "ambiguous": self.ambiguous}
-        labelled = [df.select(F.lit(name).alias("outcome")) for name, df in parts.items()]
-        return reduce(DataFrame.unionByName, labelled).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+        found = F.when(F.col(self.entity).isNull(), F.lit("unresolved")).otherwise(F.lit("resolved"))
+        outcomes = self.joined.select(found.alias("outcome")).unionByName(
+            self.ambiguous.select(F.lit("ambiguous").alias("outcome"))
+        )
+        return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def resolve_ids(forecasts: DataFrame, names: DataFrame, entity: str = "id") -> Resolution:
@@ -48,11 +70,7 @@ def resolve_ids(forecasts: DataFrame, names: DataFrame, entity: str = "id") -> R
     lookup = with_comparison_keys(names).select(*keys, F.col("player_id").alias(entity)).na.drop()
     joined = forecasts.join(lookup, keys, "left").drop(*keys)
     several = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ids")).where(F.col("_ids") > 1)
-    return Resolution(
-        resolved=joined.where(F.col(entity).isNotNull()),
-        unresolved=joined.where(F.col(entity).isNull()).drop(entity),
-        ambiguous=forecasts.join(several, keys, "left_semi").drop(*keys),
-    )
+    return Resolution(joined, forecasts.join(several, keys, "left_semi").drop(*keys), entity)
 
 
 def reconcile_direct(forecasts: DataFrame, actuals: DataFrame, period: str = "gameweek", target: str = "event_points") -> DataFrame:

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from panelcast.session import checked_broadcast
 
 
+def shape(df: DataFrame) -> DataFrame:
+    """One row: the number of rows and of columns."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+
+
 def with_errors(df: DataFrame, predicted: str = "predicted_points", actual: str = "event_points") -> DataFrame:
     """Add ``error`` (forecast minus actual) and ``abs_error``."""
     error = F.col(predicted) - F.col(actual)

@@ -52,7 +52,7 @@ def headers_of(spark: SparkSession, paths: Sequence[str], threads: int = 16) ->
 
     def header(path: str) -> tuple[str, ...]:
         line = spark.read.text(path).head()
-        names = next(csv.reader([line["value"].lstrip("﻿")])) if line else []
+        names = next(csv.reader([line["value"].lstrip("\ufeff")])) if line else []
         return tuple(name.strip() for name in names)
 
     groups: dict[tuple[str, ...], list[str]] = {}
@@ -142,11 +142,18 @@ def with_int_period(df: DataFrame, period: str = "gameweek") -> DataFrame:
 
 
 def scan_named_periods(
-    spark: SparkSession, pattern: str, after: str, spec: Mapping[str, str], whole: bool = False, skip_others: bool = False
+    spark: SparkSession,
+    pattern: str,
+    after: str,
+    spec: Mapping[str, str],
+    whole: bool = False,
+    skip_others: bool = False,
+    skip_incomplete: bool = False,
 ) -> DataFrame:
-    """Files named ``gw<N><after>`` in one read, with ``file_name`` and ``file_period``.
+    """Files named ``gw<N><after>`` in one plan, with ``file_name`` and ``file_period``.
 
-    Other names are left out with ``skip_others`` and stop the scan without it.
+    Other names are left out with ``skip_others`` and stop the scan without it. In the same way,
+    ``skip_incomplete`` leaves out files that lack a column of ``spec``.
     """
     start = "^" if whole else ""
     fits = re.compile(rf"{start}gw\d+{re.escape(after)}$", re.IGNORECASE)
@@ -154,7 +161,9 @@ def scan_named_periods(
     strangers = [p for p in paths if not fits.search(p.rsplit("/", 1)[-1])]
     if strangers and not skip_others:
         raise ValueError(f"no period in the name of {strangers[:5]}")
-    groups = headers_of(spark, [p for p in paths if p not in set(strangers)])
+    groups = headers_of(spark, sorted(set(paths) - set(strangers)))
+    if skip_incomplete:
+        groups = {header: files for header, files in groups.items() if set(spec) <= set(header)}
     if not groups:
         raise EmptySource(f"no readable files behind {pattern}")
     parts = []

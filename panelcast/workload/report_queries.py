@@ -8,6 +8,7 @@ from panelcast.operators.patch import patch_zero_targets, season_rows
 from panelcast.operators.rank import first_periods, sorted_distinct, top_by_group, top_overall
 from panelcast.operators.reconcile import (
     period_routes,
+    prepare_actuals,
     reconcile,
     reconcile_by_id,
     reconcile_direct,
@@ -19,6 +20,7 @@ from panelcast.operators.report import (
     mean_absolute_error,
     pending,
     scatter_points,
+    shape,
     with_errors,
     worst_first,
 )
@@ -134,6 +136,21 @@ def rows_of_season(spark, sf_dir):
     return season_rows(roles.panel(spark, sf_dir))
 
 
+@query("panel_shape", ROLES_SQL + """SELECT count(*) AS "rows", CAST(13 AS INTEGER) AS columns FROM panel""")
+def panel_shape(spark, sf_dir):
+    return shape(roles.panel(spark, sf_dir))
+
+
+@query("prepared_actuals", ROLES_SQL + "SELECT season, gameweek, id, event_points FROM panel WHERE season = '2024-B'")
+def prepared_actuals(spark, sf_dir):
+    """Actuals under other names and as text."""
+    rows = roles.panel(spark, sf_dir).select(
+        "season", F.col("gameweek").cast("string"), F.col("id").cast("string").alias("element"),
+        F.col("event_points").cast("string").alias("total_points"),
+    )
+    return prepare_actuals(rows).select("season", "gameweek", "id", "event_points")
+
+
 # --- reconciliation -------------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.operators.conform import conform
+from panelcast.operators.conform import MissingColumns, conform
 from panelcast.operators.pairs import keep_competition
 from panelcast.sources import feeds, sink, tree
 
@@ -18,7 +18,7 @@ def root(tmp_path):
     stats = "player_gameweek_stats.csv"
     put(tmp_path / "2024-2025/By Gameweek/GW1" / stats, "id,event_points,minutes,gameweek\n1,5,90,99\n2,NA,60,99\n")
     put(tmp_path / "2024-2025/By Gameweek/GW2" / stats, "minutes,id,event_points,form\n45,1,2,0.5\n")
-    put(tmp_path / "2025-2026/By Gameweek/GW10" / stats, "﻿id,event_points,minutes\n7,1,10\n")
+    put(tmp_path / "2025-2026/By Gameweek/GW10" / stats, "\ufeffid,event_points,minutes\n7,1,10\n")
     put(tmp_path / "2025-2026/By Gameweek/GW11" / stats, "")
     put(tmp_path / "2025-2026/By Gameweek/GWx" / stats, "id,event_points,minutes\n8,1,10\n")
     put(tmp_path / "2025-2026/By Gameweek/other" / stats, "id,event_points,minutes\n8,1,10\n")
@@ -77,6 +77,11 @@ def test_named_periods(spark, tmp_path):
     with pytest.raises(ValueError, match="no period"):
         tree.scan_named_periods(spark, f"{tmp_path}/*.csv", "_predictions.csv", spec)
     assert tree.scan_named_periods(spark, f"{tmp_path}/*.csv", "_predictions.csv", spec, skip_others=True).count() == 2
+    put(tmp_path / "gw3_predictions.csv", "gameweek,player_name\n3,Al\n")
+    with pytest.raises(MissingColumns):
+        tree.scan_named_periods(spark, f"{tmp_path}/gw*.csv", "_predictions.csv", spec)
+    complete = tree.scan_named_periods(spark, f"{tmp_path}/[gG][wW]*.csv", "_predictions.csv", spec, skip_incomplete=True)
+    assert sorted(r["file_period"] for r in complete.collect()) == [2, 10]
 
 
 def test_read_table(spark, tmp_path):
