@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # A period, team or season table is far below this; above it the join is left to the optimizer.
 BROADCAST_ROWS = 200_000
 
+# Remembers the fallback folder of a local session.
+LOCAL_FOLDER = "panelcast.local.folder"
+
 
 def local_session(app: str, cpus: int = 8, memory: str = "8g") -> SparkSession:
     """A session for one machine. On a cluster, use the session that is given."""
@@ -32,13 +35,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting falls back to a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_FOLDER, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="panelcast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(LOCAL_FOLDER, folder)
     return folder
 
 

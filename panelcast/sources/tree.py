@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from panelcast.functions.casts import missing_to_null
 from panelcast.functions.paths import path_part, period_from_name
 from panelcast.operators.conform import conform, strict_int
+from panelcast.operators.pairs import PAIR_TYPES, keep_competition, team_rows
 
 # <season>/By Gameweek/GW<n>/<file>; a folder such as GWx does not match and is skipped.
 PERIOD_PATH = r"/([^/]+)/By Gameweek/GW(\d+)/[^/]+$"
@@ -32,6 +33,13 @@ SEASON_COLUMNS = {"season": (1, "string")}
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
+PANEL_REQUIRED = {"id": "long", "event_points": "double", "minutes": "double"}
+PANEL_OPTIONAL = dict.fromkeys(
+    ("expected_goals", "expected_assists", "goals_scored", "assists", "goals_conceded", "clean_sheets",
+     "total_shots", "event_points_orig"), "double",
+)
+
+
 class EmptySource(RuntimeError):
     """No readable file was found."""
 
@@ -69,12 +77,14 @@ def scan_tree(
     path_pattern: str = PERIOD_PATH,
     path_columns: Mapping[str, tuple[int, str]] = PERIOD_COLUMNS,
     required: Sequence[str] = (),
+    each: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """All files behind ``pattern`` as text columns, plus columns taken from the path.
 
     A file is skipped if its path does not match or a ``required`` column is absent. A path column
-    replaces a column of the same name in the file. Columns a file lacks are null. Raises
-    ``EmptySource`` when no file is left.
+    replaces a column of the same name in the file. Columns a file lacks are null. ``each`` is applied
+    to the files of one header before they are united, so it sees only columns those files have.
+    Raises ``EmptySource`` when no file is left.
     """
     paths = [p for p in list_files(spark, pattern) if re.search(path_pattern, p)]
     groups = {h: files for h, files in headers_of(spark, paths).items() if set(required) <= set(h)}
@@ -82,7 +92,7 @@ def scan_tree(
         raise EmptySource(f"no readable files behind {pattern}")
     return reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        [_read_group(spark, header, files, path_pattern, path_columns) for header, files in groups.items()],
+        [each(_read_group(spark, header, files, path_pattern, path_columns)) for header, files in groups.items()],
     )
 
 
@@ -101,10 +111,25 @@ def _read_group(spark, header, files, path_pattern, path_columns) -> DataFrame:
 
 
 def scan_panel(spark: SparkSession, root: str, filename: str = "player_gameweek_stats.csv") -> DataFrame:
-    """Panel files of every season and period."""
+    """Panel files of every season and period, as text."""
     return scan_tree(spark, f"{root}/*/By Gameweek/GW*/{filename}")
 
 
+def load_panel(spark: SparkSession, root: str) -> DataFrame:
+    """The panel with numbers as numbers; optional columns that no file has stay absent."""
+    rows = conform(with_int_period(scan_panel(spark, root)), PANEL_REQUIRED)
+    return conform(rows, PANEL_OPTIONAL, on_missing="drop")
+
+
+def load_fixtures(spark: SparkSession, root: str, needle: str = "prem") -> DataFrame:
+    """Two rows per match of the competition; which column names the competition is decided per header."""
+    matches = scan_tree(
+        spark, f"{root}/*/By Gameweek/GW*/fixtures.csv", required=list(PAIR_TYPES),
+        each=lambda rows: keep_competition(rows, needle),
+    )
+    return team_rows(matches)
+
+
 def scan_season_files(spark: SparkSession, root: str, filename: str, required: Sequence[str]) -> DataFrame:
     """One file per season; files without the required columns are skipped."""
     return scan_tree(spark, f"{root}/*/{filename}", SEASON_PATH, SEASON_COLUMNS, required)

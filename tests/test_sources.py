@@ -1,10 +1,13 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators.conform import MissingColumns, conform
-from panelcast.operators.pairs import keep_competition
+from panelcast.operators.enrich import entity_names
+from panelcast.operators.reconcile import prepare_actuals, reconcile
+from panelcast.plans.models import Settings, forecast_next_period
 from panelcast.sources import feeds, sink, tree
 
 
@@ -50,12 +53,44 @@ def test_dimension_scans(spark, root):
     assert list(map(tuple, tree.scan_teams(spark, str(root)).collect())) == [("2024-2025", 10, "TEN", 1100.0, None)]
 
 
-def test_competition_filter_per_header(spark, root):
-    files = tree.headers_of(spark, tree.list_files(spark, f"{root}/*/By Gameweek/GW*/fixtures.csv"))
-    assert len(files) == 2
-    for period in ("GW12", "GW13"):
-        rows = tree.scan_tree(spark, f"{root}/*/By Gameweek/{period}/fixtures.csv")
-        assert [r["home_team"] for r in keep_competition(rows).collect()] == ["1"]
+def test_competition_column_is_chosen_per_header(spark, root):
+    got = tree.load_fixtures(spark, str(root)).orderBy("gameweek", "team_code").collect()
+    assert [(r["season"], r["gameweek"], r["team_code"], r["opp_code"], r["is_home"]) for r in got] == [
+        ("2025-2026", 12, 1, 2, 1), ("2025-2026", 12, 2, 1, 0), ("2025-2026", 13, 1, 2, 1), ("2025-2026", 13, 2, 1, 0)]
+
+
+def test_tree_to_forecast(spark, tmp_path):
+    """Files on disk to a ranked forecast, with headers that differ between periods."""
+    random.seed(2)
+    for gw in range(1, 8):
+        folder = tmp_path / f"2025-2026/By Gameweek/GW{gw}"
+        if gw < 7:
+            lines = [f"{i},{random.randint(0, 9)},{random.choice([30, 90])},4.{i % 9},{i}%,{i % 4}.5" for i in range(24)]
+            head = "id,event_points,minutes,now_cost,selected_by_percent,form"
+            if gw % 2:
+                head, lines = "minutes,id,event_points,form,selected_by_percent,now_cost,expected_goals,expected_assists", [
+                    ",".join([line.split(",")[k] for k in (2, 0, 1, 5, 4, 3)]) + ",0.1,NA" for line in lines]
+            put(folder / "player_gameweek_stats.csv", "\n".join([head, *lines]) + "\n")
+        key = "tournament" if gw % 3 else "match_id"
+        put(folder / "fixtures.csv", f"home_team,away_team,home_team_elo,away_team_elo,{key}\n"
+                                     "1,2,1500,1600,Premier\n3,1,1400,1500,Cup\n" + ("3,4,1400,1450,prem-x\n" if gw < 7 else ""))
+    put(tmp_path / "2025-2026/players.csv", "player_id,team_code,position,web_name\n" + "".join(
+        f"{i},{i % 4 + 1},{'Forward' if i % 2 else 'Defender'},Nämé{i}\n" for i in range(24)))
+    put(tmp_path / "2025-2026/teams.csv", "code,short_name,strength_defence_home,strength_defence_away\n" + "".join(
+        f"{t},T{t},{1000 + t},{1100 + t}\n" for t in range(1, 5)))
+    root = str(tmp_path)
+    members, teams = tree.scan_members(spark, root), tree.scan_teams(spark, root)
+    settings = Settings(scoring_trees=5, forest_depth=4, max_bins=16)
+    forecast = forecast_next_period(
+        tree.load_panel(spark, root), members, tree.load_fixtures(spark, root), teams, entity_names(members, teams), settings=settings)
+    rows = forecast.export().collect()
+    assert len(rows) == 12 and {(r["gameweek"], r["team_short"]) for r in rows} == {(7, "T1"), (7, "T2")}
+    sink.write_csv(forecast.export().coalesce(1), f"{root}/gw7_predictions.csv")
+    saved = tree.read_table(spark, f"{root}/gw7_predictions.csv", {"gameweek": "int", "predicted_points": "double"})
+    assert [tuple(r) for r in saved.collect()] == [tuple(r) for r in rows]
+    actuals = tree.load_panel(spark, root).where("gameweek = 6").withColumn("gameweek", F.lit(7))
+    errors = reconcile(saved, prepare_actuals(actuals), entity_names(members, teams)).collect()
+    assert len(errors) == 12 and all(r["abs_error"] == abs(r["predicted_points"] - r["event_points"]) for r in errors)
 
 
 def test_empty_tree_stops(spark, tmp_path):
