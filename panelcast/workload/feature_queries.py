@@ -9,9 +9,9 @@ from panelcast.functions.features import reached, total_of
 from panelcast.functions.paths import path_part, period_from_name
 from panelcast.functions.text import comparison_key, contains_ignoring_case, safe_tag
 from panelcast.operators import conform as cf
-from panelcast.operators.enrich import attach_names
+from panelcast.operators.enrich import attach_names, attach_team, left_lookup
 from panelcast.operators.pairs import keep_competition, team_rows
-from panelcast.operators.rolling import FORM_ALL, FORM_LAST3, Lag, Roll, rolling_features, with_form_inputs
+from panelcast.operators.rolling import FORM_ALL, FORM_LAST3, HOT_ROWS, Lag, Roll, rolling_features, with_form_inputs
 from panelcast.operators.snapshot import current_form, last_period, latest_rows, next_period_rows
 from panelcast.plans.model_table import EXTENDED_BASIC, MODEL_COLUMNS, engineered, model_table, time_split
 from panelcast.sources.tree import PERIOD_PATH, one_season
@@ -164,6 +164,33 @@ def blank_double_fixture(spark, sf_dir):
     return grid.join(per_team, keys, "left").select(*keys, F.coalesce("fixtures", F.lit(0)).alias("fixtures"))
 
 
+@query("pairs_lineitem", """WITH league AS (SELECT * FROM lineitem WHERE l_returnflag IN ('R', 'N') AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL)
+  SELECT l_orderkey, l_linenumber, l_partkey AS team_code, l_suppkey AS opp_code, 1 AS is_home, l_quantity AS team_elo, l_tax AS opp_elo FROM league
+  UNION ALL SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, 0, l_tax, l_quantity FROM league""")
+def pairs_lineitem(spark, sf_dir):
+    """Every line is a match of a part at home and a supplier away; the flag tells the competition."""
+    flag = F.col("l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("home_team"), F.col("l_suppkey").alias("away_team"),
+        F.col("l_quantity").alias("home_team_elo"), F.col("l_tax").alias("away_team_elo"),
+        F.when(flag == "R", F.lit("Premier")).when(flag == "N", F.lit("PREM tier 2")).when(flag == "A", F.lit("Cup")).alias("match_id"),
+    )
+    return team_rows(keep_competition(lines), keep=["l_orderkey", "l_linenumber"])
+
+
+@query("fixtures_per_team_period", ROLES_SQL + """SELECT t.season, t.gameweek, t.team_code, t.entities, count(f.team_code) AS fixtures
+  FROM (SELECT p.season, gameweek, team_code, count(*) AS entities FROM panel p LEFT JOIN members m ON m.season = p.season AND m.player_id = p.id GROUP BY 1, 2, 3) t
+  LEFT JOIN fixtures f ON f.season = t.season AND f.gameweek = t.gameweek AND f.team_code = t.team_code GROUP BY 1, 2, 3, 4""")
+def fixtures_per_team_period(spark, sf_dir):
+    """How many entities of the panel meet none, one or several fixtures."""
+    keys = ["season", "gameweek", "team_code"]
+    rows = attach_team(roles.panel(spark, sf_dir), roles.members(spark, sf_dir))
+    teams = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("entities"))
+    counts = roles.fixtures(spark, sf_dir).groupBy(*keys).agg(F.count(F.lit(1)).alias("fixtures"))
+    joined = left_lookup(teams, counts, keys, small=True)
+    return joined.withColumn("fixtures", F.coalesce("fixtures", F.lit(0)))
+
+
 @query("named_entities", ROLES_SQL + "SELECT season, player_id, player_name, team_short, position FROM names")
 def named_entities(spark, sf_dir):
     return roles.names(spark, sf_dir)
@@ -217,7 +244,7 @@ def orders_rolled(spark, sf_dir, **options):
 @query("rolling_orders", ROLLING_ORDERS_SQL)
 def rolling_orders(spark, sf_dir):
     """A customer may hold any number of orders, so large ones are split."""
-    return orders_rolled(spark, sf_dir, hot_rows=1_000_000)
+    return orders_rolled(spark, sf_dir, hot_rows=HOT_ROWS)
 
 
 @query("rolling_orders_split", ROLLING_ORDERS_SQL)
