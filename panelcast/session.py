@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,6 +16,9 @@ BROADCAST_ROWS = 200_000
 # Remembers the fallback folder of a local session.
 LOCAL_FOLDER = "panelcast.local.folder"
 
+# Scratch tables of this process that are still there; ``release`` removes them.
+SCRATCH: list[str] = []
+
 
 def local_session(app: str, cpus: int = 8, memory: str = "8g") -> SparkSession:
     """A session for one machine. On a cluster, use the session that is given."""
@@ -33,7 +38,8 @@ def local_session(app: str, cpus: int = 8, memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder of its own.
+    Only a local session without that setting, as in tests, falls back to a folder of its own,
+    which goes when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_FOLDER, None)
     if folder:
@@ -41,13 +47,24 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="panelcast-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set(LOCAL_FOLDER, folder)
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; ``release`` removes what is written there."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    SCRATCH.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the scratch tables written so far. Call it once their results have been used."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
