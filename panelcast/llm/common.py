@@ -56,13 +56,13 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # every node's neighbours larger than it go to its smallest neighbour (or itself)
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # every node's smaller neighbours, and the node, go to its smallest neighbour
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(
-            F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
-                                               F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).alias("e")
+            F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
+                              F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         ).select("e.a", "e.b").filter("a <> b").distinct()
         after = written(small, "links")
         # finished when every node has one link and no root is itself below another node

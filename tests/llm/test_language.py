@@ -1,0 +1,55 @@
+import zlib
+
+from cases import ODD, SCHEMA, SF, clashing, docs, table
+from pyspark.sql import functions as F
+
+from panelcast.llm import language, queries
+
+
+def test_query_learns_the_languages(spark):
+    rows = {r.doc_id: r for r in queries.op1_language_id(spark, SF).collect()}
+    docs_ = table(spark).collect()
+    assert len(rows) == len(docs_)
+    for d in docs_:
+        assert rows[d.doc_id].held_out == (zlib.crc32(str(d.doc_id).encode()) % 5 == 0)
+        assert 0 <= rows[d.doc_id].score <= 1
+    unseen = [d for d in docs_ if rows[d.doc_id].held_out and d.lang and d.n_chars >= 40]
+    right = sum(rows[d.doc_id].lang_pred == d.lang for d in unseen)
+    assert right / len(unseen) >= 0.93
+    assert {r.lang_pred for r in rows.values()} <= {d.lang for d in docs_} | {language.UNKNOWN}
+
+
+def test_only_labelled_rows_that_are_not_held_out_are_sampled(spark):
+    frame = table(spark)
+    ids = {r.doc_id for r in language.sample_windows(frame, per_lang=1000).collect()}
+    labelled = {d.doc_id for d in frame.collect() if d.lang and d.text is not None}
+    assert ids == {i for i in labelled if zlib.crc32(str(i).encode()) % 5}
+    windows = language.sample_windows(frame, per_lang=3, per_doc=6).collect()
+    assert all(1 <= len(r.windows) <= 6 and all(len(w) <= language.WINDOW for w in r.windows) for r in windows)
+
+
+def test_answers_follow_from_the_text_alone(spark):
+    model = language.train(table(spark))
+    frame = table(spark).limit(60)
+    first = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(frame, model).collect()}
+    moved = frame.withColumn("lang", F.lit("zz")).withColumn("source", F.lit("s")).withColumn("doc_id", F.col("doc_id") + 1000)
+    again = {r.doc_id - 1000: (r.lang_pred, r.score) for r in language.identify(moved, model).collect()}
+    assert first.keys() == again.keys()
+    assert all(first[i][0] == again[i][0] and abs(first[i][1] - again[i][1]) < 1e-6 for i in first)
+
+
+def test_odd_rows(spark):
+    model = language.train(table(spark))
+    frame = clashing(docs(spark, [*ODD, "a", "a"]), "held_out", "score", "lang_pred")
+    rows = {r.doc_id: r for r in language.identify(frame.drop("held_out"), model).collect()}
+    for i, text in enumerate([*ODD, "a", "a"]):
+        lettered = text is not None and any(c.isalpha() for c in text)
+        assert (rows[i].lang_pred == "und") == (not lettered)
+    assert rows[len(ODD)].score == rows[len(ODD) + 1].score
+    kept = language.keep_identified(frame, model, 0.0)
+    assert kept.columns == frame.columns
+    assert kept.count() == sum(r.lang_pred != "und" for r in rows.values())
+    empty = spark.createDataFrame([], SCHEMA)
+    assert language.train(empty) is None
+    assert [r.lang_pred for r in language.identify(docs(spark, ["hello"]), None).collect()] == ["und"]
+    assert language.identify(empty, model).count() == 0
