@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import language, packing, sharding, simhash
+from panelcast.llm import language, mixing, packing, pii, secrets, sharding, simhash, substrings, syncmers, vectors
 from panelcast.llm.common import table
+from panelcast.session import scratch_path
 from panelcast.workload.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -52,3 +53,46 @@ def word_tokenizer() -> str:
 @query("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, ledger = table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
+    secrets.update(docs, ledger)
+    return secrets.report(docs, ledger)
+
+
+@query("op2_document_fingerprints")
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"), with_kept=False)
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_embedding_near_dedup")
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_source_mixing")
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").withColumns(
+        {"domain": mixing.domain(), "tokens": mixing.word_count()}
+    )
+    chosen = mixing.mixed(docs, mixing.LEVELS, mixing.WEIGHTS, share=0.8, tokens=F.col("tokens"))
+    return chosen.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
