@@ -166,6 +166,10 @@ def with_all_spans(rows: DataFrame, found: DataFrame, docs: DataFrame, alpha: fl
     return rows.join(extra, same, "left").withColumn("all_spans", both).drop("_doc", "_key", "extra")
 
 
+def counted(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def report(docs: DataFrame, alpha: float = 0.9, support: int = 5) -> DataFrame:
     """``doc_id``, the number of spans of each kind, ``base_sha256`` and ``spans`` of every row.
 
@@ -174,7 +178,7 @@ def report(docs: DataFrame, alpha: float = 0.9, support: int = 5) -> DataFrame:
     """
     found = marked(docs)
     rows = with_all_spans(found.select("doc_id", "key", "spans"), found, docs.select("text"), alpha, support)
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    counts = [counted(F.col("spans"), i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return rows.select(
         "doc_id", *counts, F.sha2(span_text(F.col("spans")), 256).alias("base_sha256"), span_text(F.col("all_spans")).alias("spans")
     )

@@ -146,13 +146,16 @@ def span_text(spans: Column, kinds: list[str]) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def counted(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def report(versions: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every row, from the ledger."""
     kinds = [r.kind for r in RULES]
     found = findings(versions.select("doc_id", "text"), path)
-    count = {r.kind: F.size(F.filter("_spans", lambda s, i=i: s["kind"] == i)).cast("long") for i, r in enumerate(BASE_RULES)}
     base = F.filter("_spans", lambda s: s["kind"] < len(BASE_RULES))
     return found.select(
-        "doc_id", *(c.alias(f"n_{kind}") for kind, c in count.items()),
+        "doc_id", *(counted(F.col("_spans"), i).alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)),
         F.sha2(span_text(base, kinds), 256).alias("base_sha256"), span_text(F.col("_spans"), kinds).alias("spans"),
     )

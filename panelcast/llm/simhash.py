@@ -99,9 +99,13 @@ def keyed(buckets: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
     ``masks`` gives, for the bits a bucket has fixed, the bits its keys fix in all. It depends on
     the level and the number of blocks alone.
     """
-    rows = [(fixed, [signed(m) for m in wider]) for fixed, wider in masks.items()]
-    wider = buckets.sparkSession.createDataFrame(rows, "mask long, wider array<long>")
-    keys = buckets.select("mask", "fp").join(F.broadcast(wider), "mask").select("fp", F.explode("wider").alias("mask"))
+    if len(masks) == 1:
+        ((_, wider),) = masks.items()
+        keys = buckets.select("fp", F.explode(F.array(*(F.lit(signed(m)) for m in wider))).alias("mask"))
+    else:
+        rows = [(fixed, [signed(m) for m in wider]) for fixed, wider in masks.items()]
+        table = F.broadcast(buckets.sparkSession.createDataFrame(rows, "mask long, wider array<long>"))
+        keys = buckets.select("mask", "fp").join(table, "mask").select("fp", F.explode("wider").alias("mask"))
     return keys.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 

@@ -3,8 +3,6 @@ import random
 import re
 
 from cases import ODD, SCHEMA, SF, clashing, docs, prose, table
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelcast.llm import pii, queries
@@ -70,10 +68,10 @@ def test_odd_rows(spark):
     assert pii.report(empty).count() == 0 == pii.sanitised(empty).count()
 
 
-@settings(max_examples=4, deadline=None)
-@given(st.lists(st.text(st.sampled_from("ab._%@-+ 0123456789.()é"), max_size=60), min_size=60, max_size=60))
-def test_any_text(spark, texts):
-    texts = [*texts, *("".join(random.Random(i).choices("a.@-+ 019", k=60)) for i in range(400))]
+def test_any_text(spark):
+    rng = random.Random(8)
+    signs = ["ab._%@-+ 0123456789.()é", "a.@-+ 019", "+0123456789 -", "a@b."]
+    texts = ["".join(rng.choices(signs[i % 4], k=rng.randint(5, 70))) for i in range(2000)]
     for r in pii.report(docs(spark, texts)).collect():
         check(r, texts[r.doc_id])
 
