@@ -6,9 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def decoded(path: Column) -> Column:
+    """A path as its folders are named; one that is no valid encoding is taken as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
 def path_part(path: Column, pattern: str, group: int, dtype: str = "string") -> Column:
-    """A regex group of a path with ``%20`` read as a space; null where the path does not match."""
-    plain = F.replace(path, F.lit("%20"), F.lit(" "))
+    """A regex group of a path, URL-decoded where it is encoded; null where the path does not match."""
+    plain = decoded(path)
     part = F.nullif(F.regexp_extract(plain, pattern, group), F.lit(""))
     return part if dtype == "string" else part.try_cast(dtype)
 

@@ -39,7 +39,8 @@ def _folding(trim_and_lower: bool):
         folded = [plain[start:end] for start, end in zip(starts, ends)]
         return pd.Series(folded, index=present.index, dtype=object).reindex(values.index)
 
-    return F.pandas_udf(fold, T.StringType())
+    # The optimizer repeats a deterministic function in the null filters of a join; this one runs once.
+    return F.pandas_udf(fold, T.StringType()).asNondeterministic()
 
 
 _fold_key = _folding(trim_and_lower=True)

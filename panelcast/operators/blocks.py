@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelcast.session import written
+from panelcast.session import checked_broadcast, written
 
 # monotonically_increasing_id keeps the row number inside a partition in its low 33 bits.
 _LOCAL_BITS = (1 << 33) - 1
@@ -41,7 +41,7 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "_row") -> Data
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     return (
-        placed.join(F.broadcast(starts), "_part")
+        placed.join(checked_broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_local"))
         .drop("_part", "_local", "_start")
     )

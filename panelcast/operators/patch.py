@@ -34,29 +34,30 @@ def patch_zero_targets(
 ) -> tuple[DataFrame, DataFrame]:
     """(patched panel, counts per period with a total row).
 
-    Only the latest season changes, and there only targets of 0 with a positive second value. The old
+    Only the latest season is joined and changes, and there only targets of 0 with a positive second value. The old
     value goes to ``original``; where nothing changes it keeps what it held. The join is by key, and
     the second source is first reduced to one row per key, so the panel never fans out.
     """
     panel = with_absent_as_null(panel, {original: "double"})
     newest = panel.agg(F.max(season)).scalar()
     fixes = first_corrections(sources, entity, period, target)
-    joined = panel.join(fixes, [entity, period], "left").withColumn("_open", F.col(season) == newest)
-    joined = joined.withColumn(
-        "_patch", F.coalesce(F.col("_open") & (F.col(target) == 0) & (F.col("api_points") >= 0), F.lit(False))
+    open_ = panel.where(F.col(season) == newest)
+    joined = open_.join(fixes, [entity, period], "left").withColumn(
+        "_patch", F.coalesce((F.col(target) == 0) & (F.col("api_points") >= 0), F.lit(False))
     )
     patched = joined.withColumns({
         original: F.when(F.col("_patch"), F.col(target)).otherwise(F.col(original)),
         target: F.when(F.col("_patch"), F.col("api_points")).otherwise(F.col(target)),
     }).select(*panel.columns)
+    closed = panel.where(~F.col(season).eqNullSafe(newest))
     counts = (
-        joined.where("_open").rollup(period)
+        joined.rollup(period)
         .agg(
             F.count_if(F.col("has_api")).alias("with_second_source"),
             F.count_if(F.col("_patch")).alias("updated"),
         )
     )
-    return patched, counts
+    return closed.unionByName(patched), counts
 
 
 def season_rows(panel: DataFrame, season: str = "season") -> DataFrame:

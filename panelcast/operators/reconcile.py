@@ -12,7 +12,6 @@ from panelcast.functions.text import comparison_key
 from panelcast.operators.conform import conform, require, resolve_alias
 from panelcast.operators.report import with_errors
 from panelcast.operators.snapshot import latest_season
-from panelcast.session import checked_broadcast
 
 NAME_KEYS = ("player_name", "team_short")
 FORECAST_COLUMNS = ("gameweek", "player_name", "team_short", "position", "predicted_points")
@@ -31,6 +30,7 @@ def prepare_actuals(df: DataFrame, period: str = "gameweek", target: str = "even
 
 
 def with_comparison_keys(df: DataFrame, columns: Sequence[str] = NAME_KEYS, prefix: str = "_key_") -> DataFrame:
+    """Add the comparison key of each column, in one pass of the Arrow function over the rows."""
     return df.withColumns({f"{prefix}{c}": comparison_key(F.col(c)) for c in columns})
 
 
@@ -108,18 +108,18 @@ def reconcile(
     """Forecasts next to what happened, with errors.
 
     A period uses the direct join where it matches at least ``min_ratio`` of the forecasts, else ids
-    resolved by name. Without name columns in ``actuals``, every period goes by id. The direct join is
-    kept, as its rows are first counted and then used; the routes are one row per period, and are
-    broadcast only if their count allows.
+    resolved by name. Without name columns in ``actuals``, every period goes by id. All of it is one
+    plan: the direct join is counted and used through the same exchanges, and no job runs before the
+    result is asked for.
     """
     require(forecasts, FORECAST_COLUMNS)
     if not set(NAME_KEYS) <= set(actuals.columns):
         merged = reconcile_by_id(resolve_ids(forecasts, names).resolved, actuals, period, target)
     else:
-        direct = reconcile_direct(forecasts, actuals, period, target).persist()
-        routes = period_routes(forecasts, direct, min_ratio, period).persist()
-        by_name = checked_broadcast(routes.where("direct").select(period))
-        by_id = checked_broadcast(routes.where("not direct").select(period))
+        direct = reconcile_direct(forecasts, actuals, period, target)
+        routes = period_routes(forecasts, direct, min_ratio, period)
+        by_name = routes.where("direct").select(period)
+        by_id = routes.where("not direct").select(period)
         rest = resolve_ids(forecasts.join(by_id, [period], "left_semi"), names).resolved
         merged = direct.join(by_name, [period], "left_semi").unionByName(
             reconcile_by_id(rest, actuals, period, target)

@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.operators.enrich import attach_names
@@ -26,7 +26,9 @@ from panelcast.plans.model_table import (
     model_table,
     time_split,
 )
+from panelcast.session import shared_folder
 
+# The columns of the residual report.
 RESIDUAL_COLUMNS = (
     "season", "gameweek", "id", "player_name", "team_short", "position",
     "predicted_points", "actual_points", "error", "abs_error",
@@ -45,11 +47,15 @@ class Settings:
     boost_rate: float = 0.05
     boost_depth: int = 6
     boost_min_leaf: int = 20
-    boost_stop_rows: int = 10_000  # above this many training rows, a tenth is held out to stop early
     max_bins: int = 256
+    forest_min_leaf: int = 1  # with the default the trees, which the driver holds, grow with the rows
     seed: int = 42
 
 
+# A fit runs hundreds of short jobs over the training rows; tasks of fewer rows only add to their cost.
+ROWS_PER_TASK = 50_000
+
+
 def aligned(df: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
     """The rows where every feature and the target have a value."""
     return df.na.drop(subset=[*features, target])
@@ -72,22 +78,28 @@ def ridge(train: DataFrame, target: str, settings: Settings) -> LinearRegression
 def forest(trees: int, target: str, settings: Settings) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=target, predictionCol="predicted_points", numTrees=trees, maxDepth=settings.forest_depth,
-        maxBins=settings.max_bins, featureSubsetStrategy="all", seed=settings.seed, cacheNodeIds=True,
-        checkpointInterval=10,
+        maxBins=settings.max_bins, minInstancesPerNode=settings.forest_min_leaf, featureSubsetStrategy="all",
+        seed=settings.seed, cacheNodeIds=True, checkpointInterval=10,
     )
 
 
-def boosting(target: str, settings: Settings, rows: int) -> GBTRegressor:
-    """Boosted trees; with many rows, rounds end when the rows marked ``held_out`` gain no more."""
-    estimator = GBTRegressor(
+def boosting(target: str, settings: Settings) -> GBTRegressor:
+    """Boosted trees on all training rows, for every round that is set."""
+    return GBTRegressor(
         labelCol=target, predictionCol="predicted_points", maxIter=settings.boost_rounds,
         stepSize=settings.boost_rate, maxDepth=settings.boost_depth, maxBins=settings.max_bins,
         minInstancesPerNode=settings.boost_min_leaf, featureSubsetStrategy="all", seed=settings.seed,
-        cacheNodeIds=True, checkpointInterval=10, validationTol=1e-7,
+        cacheNodeIds=True, checkpointInterval=10,
     )
-    return estimator.setValidationIndicatorCol("held_out") if rows > settings.boost_stop_rows else estimator
 
 
+def with_checkpoints(spark: SparkSession) -> None:
+    """Let long fits cut their lineage in the shared folder, unless the session has a folder set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+# The names of the models.
 MODELS = ("Ridge", "RandomForest", "HistGBDT")
 
 
@@ -98,7 +110,7 @@ def regressor(name: str, train: DataFrame, target: str, settings: Settings):
     if name == "RandomForest":
         return forest(settings.forest_trees, target, settings)
     if name == "HistGBDT":
-        return boosting(target, settings, train.count())
+        return boosting(target, settings)
     raise ValueError(f"model must be one of {MODELS}, not {name!r}")
 
 
@@ -127,37 +139,42 @@ def model_grid(
     settings: Settings = Settings(),
     target: str = TARGET,
     models: Sequence[str] = MODELS,
-    parallelism: int = 3,
+    parallelism: int = 9,
 ) -> list[Fitted]:
     """Fit every model on every feature set up to the cutoff and measure both sides.
 
     ``table`` is the engineered model table of one season. A feature set without rows on either side
-    gives no result. The rows of a feature set are kept while its models use them; up to ``parallelism``
-    models are fitted at a time.
+    gives no result. The rows of the feature sets are kept while their models use them; up to
+    ``parallelism`` models are fitted at a time, and all fits use all rows.
     """
-    results: list[Fitted] = []
+    with_checkpoints(table.sparkSession)
+    kept: list[DataFrame] = []
+    fits: list = []
     for set_name, features in feature_sets.items():
         rows = aligned(table, features, target).select("gameweek", target, *features)
         split = F.when(F.col("gameweek") <= cutoff, F.lit("train")).otherwise(F.lit("test"))
-        held_out = F.pmod(F.xxhash64(*features), F.lit(10)) == 0
         assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
         rows = assembled.transform(rows)
-        rows = rows.select(target, "features", split.alias("split"), held_out.alias("held_out")).persist()
-        sides = {r["split"] for r in rows.select("split").distinct().collect()}
-        if sides == {"train", "test"}:
-            train = rows.where("split = 'train'")
+        rows = rows.select(target, "features", split.alias("split")).persist()
+        kept.append(rows)
+        sides = {r["split"]: r["count"] for r in rows.groupBy("split").count().collect()}
+        if set(sides) == {"train", "test"}:
+            train = rows.where("split = 'train'").coalesce(-(-sides["train"] // ROWS_PER_TASK))
 
             @inheritable_thread_target(table.sparkSession)
-            def fitted(model_name: str) -> Fitted:
+            def fitted(model_name, set_name=set_name, features=features, rows=rows, train=train, assembled=assembled) -> Fitted:
                 model = regressor(model_name, train, target, settings).fit(train)
                 mae = split_errors(model.transform(rows), target)
                 pipeline = PipelineModel([assembled, model])
                 return Fitted(set_name, model_name, tuple(features), mae["train"], mae["test"], pipeline)
 
-            with ThreadPoolExecutor(parallelism) as pool:
-                results.extend(pool.map(fitted, models))
-        rows.unpersist()
-    return results
+            fits += [(fitted, name) for name in models]
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            return list(pool.map(lambda fit: fit[0](fit[1]), fits))
+    finally:
+        for rows in kept:
+            rows.unpersist()
 
 
 def grid_table(spark, results: Sequence[Fitted]) -> DataFrame:
@@ -197,6 +214,7 @@ def residuals(table: DataFrame, best: Fitted, names: DataFrame, cutoff: int, per
 
 def scoring_model(train: DataFrame, features: Sequence[str] = EXTENDED_BASIC, settings: Settings = Settings(), target: str = TARGET) -> PipelineModel:
     """A forest for scoring, behind medians of the training rows for features missing at scoring time."""
+    with_checkpoints(train.sparkSession)
     numeric = as_doubles(train, features)
     inputs = [f"{c}_filled" for c in features]
     stages = [
@@ -239,21 +257,26 @@ def forecast_next_period(
 ) -> Forecast | None:
     """Train on the finished periods of the latest season (or of ``seasons``) and score the next period.
 
-    None when there is nothing to train on or no fixture to score. The model table is kept while the
-    newest period and the model are taken from it, and the rows to score stay kept for the result.
+    None when there is nothing to train on or no fixture to score. Only the seasons to train on are
+    turned into a model table; the others are read for it only if the newest one gives no row. The
+    table is kept while the newest period and the model are taken from it.
     """
-    table = engineered(model_table(panel, members, fixtures, strengths)).persist()
-    newest = table.agg(F.max(F.struct("season", "gameweek")).alias("newest")).first()["newest"]
-    if newest is None:
+    latest = panel.agg(F.max("season").alias("season")).first()["season"]
+    wanted = {latest, *(seasons or ())} - {None}
+    for rows in (panel.where(F.col("season").isin(list(wanted))), panel):
+        table = engineered(model_table(rows, members, fixtures, strengths)).persist()
+        newest = table.agg(F.max(F.struct("season", "gameweek")).alias("newest")).first()["newest"]
+        if newest is not None:
+            break
         table.unpersist()
+    else:
         return None
     season, last_gw = newest["season"], newest["gameweek"]
     train = table.where(F.col("season").isin(list(seasons or [season])) & (F.col("gameweek") <= last_gw))
     train = train.na.drop(subset=list(REQUIRED_VALUES))
-    upcoming = next_period_rows(panel, members, fixtures, strengths, season, last_gw).persist()
+    upcoming = next_period_rows(panel, members, fixtures, strengths, season, last_gw)
     if aligned(train, features).isEmpty() or upcoming.isEmpty():
         table.unpersist()
-        upcoming.unpersist()
         return None
     model = scoring_model(train, features, settings)
     table.unpersist()

@@ -10,7 +10,6 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -19,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.casts import missing_to_null
-from panelcast.functions.paths import path_part, period_from_name
-from panelcast.operators.conform import conform, strict_int
+from panelcast.functions.paths import decoded, path_part, period_from_name
+from panelcast.operators.conform import conform, strict_int, with_absent_as_null
 from panelcast.operators.pairs import PAIR_TYPES, keep_competition, team_rows
 
 # <season>/By Gameweek/GW<n>/<file>; a folder such as GWx does not match and is skipped.
@@ -55,19 +54,26 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(row["path"] for row in files.collect())
 
 
-def headers_of(spark: SparkSession, paths: Sequence[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
-    """Header to files. One small job per file takes its first line; files are one per season and period."""
-
-    def header(path: str) -> tuple[str, ...]:
-        line = spark.read.text(path).head()
-        names = next(csv.reader([line["value"].lstrip("\ufeff")])) if line else []
-        return tuple(name.strip() for name in names)
+def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header to files, in one job over all files; empty files are under the empty header.
 
+    The first line of a file is the first one of the block that begins at 0. What comes back is one
+    short line a file, as the listing itself is.
+    """
+    if not paths:
+        return {}
+    lines = spark.read.text(list(paths)).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    found = lines.groupBy("file").agg(F.min_by("value", "at").alias("line")).select(
+        F.regexp_replace(decoded(F.col("file")), "^file:/+", "file:/").alias("file"), "line"
+    )
+    first = {r["file"]: r["line"] for r in found.collect()}
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(threads) as pool:
-        for path, names in zip(paths, pool.map(header, paths)):
-            if names:
-                groups.setdefault(names, []).append(path)
+    for path in paths:
+        line = first.get(re.sub("^file:/+", "file:/", path), "")
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        groups.setdefault(tuple(name.strip() for name in names), []).append(path)
     return groups
 
 
@@ -87,7 +93,7 @@ def scan_tree(
     Raises ``EmptySource`` when no file is left.
     """
     paths = [p for p in list_files(spark, pattern) if re.search(path_pattern, p)]
-    groups = {h: files for h, files in headers_of(spark, paths).items() if set(required) <= set(h)}
+    groups = {h: files for h, files in headers_of(spark, paths).items() if h and set(required) <= set(h)}
     if not groups:
         raise EmptySource(f"no readable files behind {pattern}")
     return reduce(
@@ -122,12 +128,27 @@ def load_panel(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_fixtures(spark: SparkSession, root: str, needle: str = "prem") -> DataFrame:
-    """Two rows per match of the competition; which column names the competition is decided per header."""
+    """Two rows per match of the competition; which column names the competition is decided per header.
+
+    A file needs the two team columns; without ratings its matches have null ratings.
+    """
     matches = scan_tree(
-        spark, f"{root}/*/By Gameweek/GW*/fixtures.csv", required=list(PAIR_TYPES),
+        spark, f"{root}/*/By Gameweek/GW*/fixtures.csv", required=["home_team", "away_team"],
         each=lambda rows: keep_competition(rows, needle),
     )
-    return team_rows(matches)
+    return team_rows(with_absent_as_null(matches, dict.fromkeys(PAIR_TYPES, "string")))
+
+
+def scan_report(spark: SparkSession, pattern: str, path_pattern: str = PERIOD_PATH, required: Sequence[str] = ()) -> DataFrame:
+    """``file, outcome`` of every file behind ``pattern``: read, other path, empty, or what it lacks."""
+    paths = list_files(spark, pattern)
+    fits = [p for p in paths if re.search(path_pattern, p)]
+    rows = [(p, "other path") for p in paths if p not in set(fits)]
+    for header, files in headers_of(spark, fits).items():
+        absent = [c for c in required if c not in header]
+        outcome = "empty" if not header else f"lacks {', '.join(absent)}" if absent else "read"
+        rows += [(p, outcome) for p in files]
+    return spark.createDataFrame(rows, "file string, outcome string")
 
 
 def scan_season_files(spark: SparkSession, root: str, filename: str, required: Sequence[str]) -> DataFrame:
@@ -187,6 +208,7 @@ def scan_named_periods(
     if strangers and not skip_others:
         raise ValueError(f"no period in the name of {strangers[:5]}")
     groups = headers_of(spark, sorted(set(paths) - set(strangers)))
+    groups.pop((), None)
     if skip_incomplete:
         groups = {header: files for header, files in groups.items() if set(spec) <= set(header)}
     if not groups:

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from panelcast.plans import models
 
 SMALL = models.Settings(
-    forest_trees=3, scoring_trees=20, forest_depth=5, boost_rounds=3, boost_stop_rows=100, max_bins=16
+    forest_trees=3, scoring_trees=20, forest_depth=5, boost_rounds=3, max_bins=16
 )
 SETS = {"one": ("a",), "two": ("a", "b")}
 
