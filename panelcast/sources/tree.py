@@ -11,6 +11,7 @@ import csv
 import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +45,14 @@ class EmptySource(RuntimeError):
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """The paths behind a glob. The file source only lists here: no content is read."""
+    """The paths behind a glob, also of empty files, as their folders are named. No content is read."""
     try:
-        files = spark.read.format("binaryFile").load(pattern).select("path")
+        files = spark.read.format("binaryFile").load(pattern).inputFiles()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return []
         raise
-    return sorted(row["path"] for row in files.collect())
+    return sorted(map(unquote, files))
 
 
 def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:

@@ -156,3 +156,46 @@ def feature_set_rows(spark, sf_dir):
         counts.append(sides.agg(F.count_if("early").alias("train"), F.count_if(~F.col("early")).alias("test")).select(
             F.lit(name).alias("feature_set"), F.lit(len(features)).alias("n_features_used"), "train", "test"))
     return reduce(DataFrame.unionByName, counts)
+
+
+@query("tree_by_side", ROLES_SQL + """SELECT is_home, round(avg(event_points), 5) AS predicted_points, count(*) AS "rows"
+  FROM model WHERE season = '2024-B' AND gameweek <= 25 GROUP BY 1""")
+def tree_by_side(spark, sf_dir):
+    """A forest of one tree on all rows and one two-valued feature predicts the mean of each side."""
+    return by_side(spark, sf_dir, models.forest(1, TARGET, models.Settings()).setBootstrap(False))
+
+
+@query("boosting_by_side", ROLES_SQL + """SELECT is_home, round(avg(event_points), 5) AS predicted_points, count(*) AS "rows"
+  FROM model WHERE season = '2024-B' AND gameweek <= 25 GROUP BY 1""")
+def boosting_by_side(spark, sf_dir):
+    """Two rounds of boosting on it: the mean of each side, and a second tree that finds nothing left."""
+    return by_side(spark, sf_dir, models.boosting(TARGET, models.Settings(boost_rounds=2, boost_min_leaf=1)))
+
+
+def by_side(spark, sf_dir, estimator):
+    rows = models.aligned(current_table(spark, sf_dir).where(F.col("gameweek") <= roles.CUTOFF), ["is_home"])
+    train = VectorAssembler(inputCols=["is_home"], outputCol="features").transform(rows)
+    scored = rounded(estimator.fit(train).transform(train), "predicted_points", digits=5)
+    return scored.groupBy("is_home", "predicted_points").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("model_grid_keys", """SELECT * FROM (VALUES (0, 'baseline', 'Ridge', 11, true), (1, 'baseline', 'RandomForest', 11, true),
+  (2, 'baseline', 'HistGBDT', 11, true), (3, 'extended_basic', 'Ridge', 13, true), (4, 'extended_basic', 'RandomForest', 13, true),
+  (5, 'extended_basic', 'HistGBDT', 13, true), (6, 'extended_interact', 'Ridge', 15, true), (7, 'extended_interact', 'RandomForest', 15, true),
+  (8, 'extended_interact', 'HistGBDT', 15, true)) t(ordinal, feature_set, model, n_features_used, trees_fit_better)""")
+def model_grid_keys(spark, sf_dir):
+    """Which fits the grid has, in order; on the training rows no model does worse than the ridge of its set."""
+    rows = models.grid_table(spark, grid(spark, sf_dir)[1])
+    ridge = rows.where("model = 'Ridge'").select("feature_set", F.col("train_mae").alias("ridge_mae"))
+    better = (F.col("train_mae") <= F.col("ridge_mae")).alias("trees_fit_better")
+    return rows.join(ridge, "feature_set").select("ordinal", "feature_set", "model", "n_features_used", better)
+
+
+@query("forest_score_bounds", ROLES_SQL + NEXT_SQL + """SELECT count(*) AS "rows", true AS inside
+  FROM next_rows r LEFT JOIN names n ON n.season = r.season AND n.player_id = r.id""")
+def forest_score_bounds(spark, sf_dir):
+    """Means of leaves lie between the least and the greatest target of the season."""
+    target = current_table(spark, sf_dir).agg(F.min(TARGET).alias("low"), F.max(TARGET).alias("high"))
+    scored = forecast(spark, sf_dir).export().crossJoin(F.broadcast(target))  # one row
+    inside = F.col("predicted_points").between(F.col("low") - 1e-9, F.col("high") + 1e-9)
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.bool_and(inside).alias("inside"))

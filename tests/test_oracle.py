@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from panelcast.workload.registry import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -33,7 +34,7 @@ def canonical(rows, columns):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(name, spark, duck):
     df = entry.queries()[name](spark, SF_DIR)
     rows = [tuple(r) for r in df.collect()]

@@ -173,3 +173,34 @@ def test_versions(spark, tmp_path):
     with pytest.raises(Exception):
         sink.write_version(spark.range(1).select(F.raise_error(F.lit("x")).cast("int").alias("id")), root)
     assert sink.current_version(spark, root) == 2
+
+
+def test_names_of_folders_are_decoded_and_no_file_is_lost(spark, tmp_path):
+    for season in ("Saison é#24", "a+b", "100%", "x y"):
+        folder = tmp_path / season / "By Gameweek" / "GW3"
+        folder.mkdir(parents=True)
+        (folder / "f.csv").write_text("id,v\n1,2\n")
+        empty = tmp_path / season / "By Gameweek" / "GW4"
+        empty.mkdir()
+        (empty / "f.csv").write_text("")
+    pattern = f"{tmp_path}/*/By Gameweek/GW*/f.csv"
+    rows = tree.scan_tree(spark, pattern, required=["id"]).collect()
+    assert sorted((r.season, r.gameweek, r.id) for r in rows) == [(s, 3, "1") for s in ("100%", "Saison é#24", "a+b", "x y")]
+    outcomes = [r.outcome for r in tree.scan_report(spark, pattern, required=["id", "w"]).collect()]
+    assert sorted(outcomes) == ["empty"] * 4 + ["lacks w"] * 4
+
+
+def test_headers_take_one_job(spark, tmp_path):
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for files in (3, 40):
+        folder = tmp_path / str(files)
+        folder.mkdir()
+        for i in range(files):
+            (folder / f"{i}.csv").write_text(f"id,c{i % 2}\n1,2\n3,4\n")
+        paths = tree.list_files(spark, f"{folder}/*.csv")
+        spark.sparkContext.setJobGroup(f"headers-{files}", "")
+        groups = tree.headers_of(spark, paths)
+        jobs.append(len(tracker.getJobIdsForGroup(f"headers-{files}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {h: len(f) for h, f in groups.items()} == {("id", "c0"): -(-files // 2), ("id", "c1"): files // 2}
+    assert max(jobs) <= 3  # with many paths Spark lists them in a job of its own
