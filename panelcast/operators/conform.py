@@ -22,6 +22,23 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+class RepeatedKeys(ValueError):
+    """Rows share a key that must be unique."""
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key that more than one row has, with its ``rows``; null counts as a value."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
+
+def require_unique(df: DataFrame, keys: Sequence[str] = ("season", "gameweek", "id"), samples: int = 5) -> DataFrame:
+    """Stop with a few samples if a key occurs twice, for one grouped count over the rows."""
+    found = repeated_keys(df, keys).orderBy(*keys).limit(samples).collect()
+    if found:
+        raise RepeatedKeys(f"{list(keys)} repeat: {[tuple(r) for r in found]}")
+    return df
+
+
 def keep_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Project to the wanted columns that exist, in the wanted order."""
     return df.select([c for c in columns if c in df.columns])

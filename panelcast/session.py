@@ -60,7 +60,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Remove the scratch tables written so far. Call it once their results have been used."""
+    """Remove the scratch tables and the kept tables of this session. Call it once their results have been used."""
+    spark.catalog.clearCache()
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while SCRATCH:
         path = jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.pairs import PAIR_TYPES
 from panelcast.operators.reconcile import reconcile
 from panelcast.plans.model_table import engineered, model_table
-from panelcast.session import scratch_path
+from panelcast.session import SCRATCH, scratch_path
 from panelcast.sources import tree
 from panelcast.sources.sink import CSV_WRITE_OPTIONS
 from panelcast.workload import roles
@@ -43,7 +43,7 @@ def write_files(df: DataFrame, path: Column, root: str) -> None:
 def tree_root(spark: SparkSession, sf_dir: str) -> str:
     """The tree of a session and folder; written once and used by all queries here."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in ROOTS:
+    if ROOTS.get(key) in SCRATCH:
         return ROOTS[key]
     root = scratch_path(spark, "layout")
 

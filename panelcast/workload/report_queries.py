@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelcast.operators.patch import patch_zero_targets, season_rows
+from panelcast.operators.conform import repeated_keys
 from panelcast.operators.rank import first_periods, sorted_distinct, top_by_group, top_overall
 from panelcast.operators.reconcile import (
     period_routes,
@@ -112,6 +113,13 @@ def best_by_position(spark, sf_dir):
     return top_by_group(customers, "c_mktsegment", "c_acctbal", ["c_custkey"], 10, wanted)
 
 
+@query("repeated_event_days", """SELECT user_id, CAST(day(ts) AS INTEGER) AS gameweek, count(*) AS "rows" FROM events
+  GROUP BY 1, 2 HAVING count(*) > 1""")
+def repeated_event_days(spark, sf_dir):
+    """Keys that are not unique: users with several events a day."""
+    return repeated_keys(table(spark, sf_dir, "events").select("user_id", F.dayofmonth("ts").alias("gameweek")), ["user_id", "gameweek"])
+
+
 @query("top_orders_by_priority", """SELECT o_orderpriority, o_orderkey, o_totalprice, CAST(rn AS INTEGER) AS "rank" FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 10""")
 def top_orders_by_priority(spark, sf_dir):
