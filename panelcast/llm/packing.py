@@ -11,6 +11,7 @@ gathering a length.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,16 +25,20 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import numbered
 from panelcast.session import written
 
-#: Most words a task remembers; beyond it the memory starts anew.
-WORDS_KEPT = 400_000
+#: Most words a worker remembers; beyond it the memory starts anew.
+WORDS_KEPT = 800_000
+#: ASCII punctuation but the apostrophe begins a token of its own after a letter or digit.
+MARK = re.compile(rb"(?<=[a-z0-9])[!-&(-/:-@\[-`{-~]")
+WORD_END = "</w>"
 PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long, row long"
 
 
 class Encoder:
     """Token ids of whole texts as little-endian bytes.
 
-    The tokenizer drops white space and never joins what stands on both sides of it, so a text's
-    ids are those of its words in turn, and each word is encoded once.
+    The tokenizer lower-cases, drops white space and never joins what stands on both sides of it,
+    nor a letter or digit and the punctuation after it. So a text's ids are those of its words and
+    marks in turn, and each of them is encoded once.
     """
 
     def __init__(self, path: str):
@@ -41,21 +46,46 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.words: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode words together where each is one run of letters, and the rest one by one.
+
+        Words that stand together are told apart by the tokens that end a word; should there not be
+        one for each of them, they are encoded one by one as well.
+        """
+        letters, alone = [], []
+        for word in words:
+            (letters if word.isalpha() or word.decode().isalpha() else alone).append(word)
+        groups = [letters[i : i + 500] for i in range(0, len(letters), 500)]
+        for group, ids in zip(groups, self.encode([b" ".join(g).decode() for g in groups]), strict=True):
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(group):
+                alone += group
+                continue
+            packed, edges = ids.tobytes(), (4 * ends).tolist()
+            self.words.update(zip(group, map(packed.__getitem__, map(slice, [0, *edges], edges)), strict=True))
+        for word, ids in zip(alone, self.encode([x.decode() for x in alone]), strict=True):
+            self.words[word] = ids.tobytes()
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        split = [(text or "").encode().split() for text in texts]
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        new = list(set().union(*split) - known.keys())
-        for start in range(0, len(new), 50_000):
-            part = new[start : start + 50_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, found in zip(part, encoded, strict=True):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        look = known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        split = [MARK.sub(rb" \g<0>", (text or "").encode().lower()).split() for text in texts]
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        known = self.words.get
+        found = [list(map(known, words)) for words in split]
+        gaps = [[i for i, ids in enumerate(ids_) if ids is None] for ids_ in found]
+        self.learn(list({words[i] for words, at in zip(split, gaps, strict=True) for i in at}))
+        for words, ids_, at in zip(split, found, gaps, strict=True):
+            for i in at:
+                ids_[i] = known(words[i])
+        return [b"".join(ids_) for ids_ in found]
 
 
 ENCODERS: dict[str, Encoder] = {}
