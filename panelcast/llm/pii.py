@@ -118,28 +118,36 @@ def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, suppo
     points, so copies of a passage count once, and ``support`` such surroundings are needed. The
     term alone is counted over the documents of the whole corpus.
     """
-    seen = found.filter(F.size("spans") > 0).select("text", F.explode("spans").alias("span")).select(
-        entity(F.col("span")).alias("entity"),
+    mentions = found.filter(F.size("spans") > 0).select("doc_id", "key", "text", F.explode("spans").alias("span")).select(
+        "doc_id", "key", entity(F.col("span")).alias("entity"),
         F.substr("text", F.greatest(F.lit(1), F.col("span.start") - NEAR + 1), F.least(F.lit(NEAR), F.col("span.start"))).alias("before"),
         F.substr("text", F.col("span.end") + 1, F.lit(NEAR)).alias("after"),
-    ).distinct()
-    entities = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support)
+    )
     around = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws("\n", "before", "after")), F.lit(WORD), F.lit(0)))
+    seen = mentions.select("entity", "before", "after").distinct()
+    entities = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support)
     together = (
         seen.select("entity", F.explode(around).alias("term")).groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
     )
-    pairs = written(together.join(entities, "entity"), "pii-pairs")
+    # a term is in no fewer documents than those that have it near some entity
+    near = mentions.select("doc_id", "key", F.explode(around).alias("term")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    total = F.lit(float(docs.count()))
+
+    def revealing(n_term: Column) -> Column:
+        p_entity, p_both = F.col("n_e") / total, F.col("n_et") / total
+        share = F.log(p_both / (p_entity * n_term / total)) / -F.log(p_entity)
+        return (p_entity < 1) & (share >= alpha)
+
+    pairs = together.join(entities, "entity").join(near, "term").filter(revealing(F.greatest("n_near", "n_et")))
+    pairs = written(pairs.drop("n_near"), "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("entity", "term")
     wanted = checked_broadcast(pairs.select("term").distinct())
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     alone = docs.select(F.explode(words).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = F.lit(float(docs.count()))
-    p_term = F.greatest("n_t", "n_et") / total
-    p_entity, p_both = F.col("n_e") / total, F.col("n_et") / total
-    revealed = F.log(p_both / (p_entity * p_term)) / -F.log(p_entity)
-    return pairs.join(alone, "term").filter((p_entity < 1) & (revealed >= alpha)).select("entity", "term")
+    found_out = pairs.join(alone, "term").filter(revealing(F.greatest("n_t", "n_et"))).select("entity", "term")
+    return written(found_out, "pii-revealing")
 
 
 def term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
