@@ -32,7 +32,7 @@ GRAM = 24
 PIECE = 1 << 20
 #: Most different phrases of one trigger that a task sorts; more are compared window by window.
 MOST = 100_000
-PARSE = "doc_id {0}, version long, start long, shape int, trigger long, phrase long"
+PARSE = "doc_id {0}, version long, start long, shape int, trigger long, phrase long, again boolean"
 MARKS = "doc_id {0}, version long, start long, shape int, trigger long, mixed boolean"
 RANGES = "doc_id {0}, version long, start long, windows long, window binary"
 
@@ -80,9 +80,11 @@ def version(text: Column) -> Column:
 
 
 def parsed(docs: DataFrame, length: int) -> DataFrame:
-    """The parse of all texts: ``doc_id, version, start, shape, trigger, phrase``.
+    """The parse of all texts: ``doc_id, version, start, shape, trigger, phrase, again``.
 
-    ``shape`` is the number of windows plus 1024 times the trigger's distance from the first.
+    ``shape`` is the number of windows plus 1024 times the trigger's distance from the first. A phrase
+    that stands further back than an equal one in the rows a task has at hand is known to repeat:
+    it is marked ``again`` and need not meet the others of its trigger, however many they are.
     """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,16 +104,30 @@ def parsed(docs: DataFrame, length: int) -> DataFrame:
                         pa.array(trigger.view(np.int64)), pa.array(np.array(digests, np.uint64).view(np.int64)),
                     ], names=["doc_id", "version", "start", "shape", "trigger", "phrase"])
 
+    def combined(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        places = [(c, "ascending") for c in ("doc_id", "version", "start")]
+        rows = rows.take(pc.sort_indices(rows, places, null_placement="at_start")).combine_chunks()
+        trigger, phrase = rows.column("trigger").to_numpy(), rows.column("phrase").to_numpy()
+        order = np.lexsort((phrase, trigger))  # stable: equal phrases stay in the order of the corpus
+        equal = (np.diff(trigger[order]) == 0) & (np.diff(phrase[order]) == 0)
+        start = rows.column("start").to_numpy()[order]
+        doc = pc.rank(rows.column("doc_id"), tiebreaker="dense").to_numpy()[order]
+        identical = (np.diff(start) == 0) & (np.diff(doc) == 0)  # rows of one document, or nearly so: left for later
+        again = np.zeros(len(order), bool)
+        again[order[1:]] = equal & ~identical
+        yield from rows.append_column("again", pa.array(again)).to_batches()
+
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in parse(batches):
             held.append(batch)
             rows += batch.num_rows
             if rows >= 50_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                yield from combined(held)
                 held, rows = [], 0
         if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield from combined(held)
 
     return docs.mapInArrow(grouped, PARSE.format(dict(docs.dtypes)["doc_id"]))
 
@@ -120,14 +136,24 @@ def marked(parse: DataFrame) -> DataFrame:
     """Phrases that repeat an earlier one as a whole, and those (``mixed``) that share a trigger with others."""
     kind = dict(parse.dtypes)["doc_id"]
     columns = ["doc_id", "version", "start", "shape", "trigger"]
-    dealt = parse.repartition(shuffle_width(parse.sparkSession), "trigger").sortWithinPartitions(
+    deal = F.when(F.col("again"), F.xxhash64("doc_id", "start")).otherwise(F.col("trigger"))
+    dealt = parse.repartition(shuffle_width(parse.sparkSession), deal).sortWithinPartitions(
         "trigger", "phrase", "doc_id", "version", "start"
     )
 
+    def sent_on(rows: pa.RecordBatch, mixed: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [*(rows.column(c) for c in columns), pa.array([mixed] * rows.num_rows)], names=[*columns, "mixed"]
+        )
+
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         previous = None  # the last row
         tail, tail_sent = None, False  # the last different phrase; one more with its trigger makes it mixed
-        for batch in batches:
+        for whole in batches:
+            known = whole.column("again")
+            batch = whole.filter(pc.invert(known))
+            if batch.num_rows < whole.num_rows:
+                yield sent_on(whole.filter(known), False)
             if not batch.num_rows:
                 continue
             rows = batch if previous is None else pa.concat_batches([previous, batch])
@@ -154,9 +180,7 @@ def marked(parse: DataFrame) -> DataFrame:
             tail, tail_sent = different.slice(len(mixed) - 1, 1), bool(mixed[-1] or (len(mixed) == 1 and tail_sent))
             for part, flag in ((repeats, False), (different.filter(pa.array(sent)), True)):
                 if part.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(part.column(c) for c in columns), pa.array([flag] * part.num_rows)], names=[*columns, "mixed"]
-                    )
+                    yield sent_on(part, flag)
 
     return dealt.mapInArrow(mark, MARKS.format(kind))
 
