@@ -20,9 +20,8 @@ from panelcast.session import checked_broadcast, written
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
-#: Code points on either side of an entity whose words count as near it.
-NEAR = 80
-WORD = r"\p{L}{4,}"
+#: A term: a run of letters and digits of any length, with its combining marks.
+WORD = r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*+"
 
 
 def matches(text: Column, source: Column, pattern: str, keep: Callable[[Column], Column], kind: int) -> Column:
@@ -111,27 +110,24 @@ def marked(docs: DataFrame) -> DataFrame:
     return written(rows.select("doc_id", "key", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")), "pii")
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, support: int = 5) -> DataFrame:
+def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, support: int = 2) -> DataFrame:
     """``entity, term`` of the terms that give at least ``alpha`` of an entity's information away.
 
-    Entity and term are counted together once for each different surrounding of ``NEAR`` code
-    points, so copies of a passage count once, and ``support`` such surroundings are needed. The
-    term alone is counted over the documents of the whole corpus.
+    Entity and term are counted together over whole documents, once for each different text, so
+    copies of a text count once. ``support`` such texts are needed: with one, every word that stands
+    nowhere else would share all of the entity's information. The term alone is counted over the
+    documents of the whole corpus.
     """
-    mentions = found.filter(F.size("spans") > 0).select("doc_id", "key", "text", F.explode("spans").alias("span")).select(
-        "doc_id", "key", entity(F.col("span")).alias("entity"),
-        F.substr("text", F.greatest(F.lit(1), F.col("span.start") - NEAR + 1), F.least(F.lit(NEAR), F.col("span.start"))).alias("before"),
-        F.substr("text", F.col("span.end") + 1, F.lit(NEAR)).alias("after"),
-    )
-    around = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws("\n", "before", "after")), F.lit(WORD), F.lit(0)))
-    seen = mentions.select("entity", "before", "after").distinct()
-    entities = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support)
-    together = (
-        seen.select("entity", F.explode(around).alias("term")).groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
-    )
-    # a term is in no fewer documents than those that have it near some entity
-    near = mentions.select("doc_id", "key", F.explode(around).alias("term")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    texts = found.filter(F.size("spans") > 0).dropDuplicates(["key"])
+    held = texts.select("key", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support)
+    repeated = held.join(entities, "entity").groupBy("key").agg(F.collect_list("entity").alias("entities"))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    both = texts.join(repeated, "key").select("entities", F.explode(words).alias("term")).select("term", F.explode("entities").alias("entity"))
+    together = both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
+    # a term is in no fewer documents than those that have it and some entity
+    shown = found.filter(F.size("spans") > 0)
+    near = shown.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
     total = F.lit(float(docs.count()))
 
     def revealing(n_term: Column) -> Column:
@@ -139,14 +135,13 @@ def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, suppo
         share = F.log(p_both / (p_entity * n_term / total)) / -F.log(p_entity)
         return (p_entity < 1) & (share >= alpha)
 
-    pairs = together.join(entities, "entity").join(near, "term").filter(revealing(F.greatest("n_near", "n_et")))
+    pairs = together.join(entities, "entity").join(near, "term").filter(revealing(F.col("n_near")))
     pairs = written(pairs.drop("n_near"), "pii-pairs")
     if pairs.isEmpty():
         return pairs.select("entity", "term")
     wanted = checked_broadcast(pairs.select("term").distinct())
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     alone = docs.select(F.explode(words).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    found_out = pairs.join(alone, "term").filter(revealing(F.greatest("n_t", "n_et"))).select("entity", "term")
+    found_out = pairs.join(alone, "term").filter(revealing(F.col("n_t"))).select("entity", "term")
     return written(found_out, "pii-revealing")
 
 
@@ -178,7 +173,7 @@ def counted(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def report(docs: DataFrame, alpha: float = 0.9, support: int = 5) -> DataFrame:
+def report(docs: DataFrame, alpha: float = 0.9, support: int = 2) -> DataFrame:
     """``doc_id``, the number of spans of each kind, ``base_sha256`` and ``spans`` of every row.
 
     A null text counts as empty. Repeated rows get the same answer each, no rows give no rows, and
@@ -210,7 +205,7 @@ def cleaned(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, close)).otherwise(text)
 
 
-def sanitised(docs: DataFrame, alpha: float = 0.9, support: int = 5) -> DataFrame:
+def sanitised(docs: DataFrame, alpha: float = 0.9, support: int = 2) -> DataFrame:
     """The rows with all their columns; spans in ``text`` are generalised and ``n_chars``, if there, counts anew.
 
     Null texts stay null. Texts without a span stay as they are.

@@ -97,3 +97,15 @@ def test_no_python_on_the_path(spark):
     for plan in (pii.report(frame), pii.sanitised(frame)):
         text = plan._jdf.queryExecution().toString()
         assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_entities_of_two_documents_have_terms(spark):
+    """Short words, numbers and words far from the entity count as well."""
+    fill = [prose(i, 60) for i in range(300)]
+    near = [f"Wu {prose(1000 + i, 40)} 7431 x@y.org {prose(2000 + i, 40)} far" for i in range(2)]
+    found = {r.doc_id: r.spans.split(",") for r in pii.report(docs(spark, fill + near)).collect()}
+    for i, text in enumerate(near, len(fill)):
+        for term in ("Wu", "7431", "far"):
+            at = text.index(term)
+            assert f"term:{at}:{at + len(term)}" in found[i]
+    assert all(found[i] == [""] for i in range(len(fill)))
