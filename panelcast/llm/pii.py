@@ -113,10 +113,10 @@ def marked(docs: DataFrame) -> DataFrame:
 def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, support: int = 2) -> DataFrame:
     """``entity, term`` of the terms that give at least ``alpha`` of an entity's information away.
 
-    Entity and term are counted together over whole documents, once for each different text, so
-    copies of a text count once. ``support`` such texts are needed: with one, every word that stands
-    nowhere else would share all of the entity's information. The term alone is counted over the
-    documents of the whole corpus.
+    Everything is counted over whole documents, once for each different text of the corpus: entities,
+    terms, both together and the total. So copies neither make a term revealing nor hide one.
+    ``support`` texts are needed: with one, every word that stands nowhere else would share all of
+    the entity's information.
     """
     texts = found.filter(F.size("spans") > 0).dropDuplicates(["key"])
     held = texts.select("key", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
@@ -125,10 +125,9 @@ def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, suppo
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     both = texts.join(repeated, "key").select("entities", F.explode(words).alias("term")).select("term", F.explode("entities").alias("entity"))
     together = both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
-    # a term is in no fewer documents than those that have it and some entity
-    shown = found.filter(F.size("spans") > 0)
-    near = shown.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    total = F.lit(float(docs.count()))
+    # a term is in no fewer texts than those that have it and some entity
+    near = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    total = F.lit(float(found.select("key").distinct().count()))
 
     def revealing(n_term: Column) -> Column:
         p_entity, p_both = F.col("n_e") / total, F.col("n_et") / total
@@ -140,7 +139,8 @@ def revealing_terms(docs: DataFrame, found: DataFrame, alpha: float = 0.9, suppo
     if pairs.isEmpty():
         return pairs.select("entity", "term")
     wanted = checked_broadcast(pairs.select("term").distinct())
-    alone = docs.select(F.explode(words).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    everywhere = docs.select(F.xxhash64("text").alias("key"), F.explode(words).alias("term")).join(wanted, "term")
+    alone = everywhere.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     found_out = pairs.join(alone, "term").filter(revealing(F.col("n_t"))).select("entity", "term")
     return written(found_out, "pii-revealing")
 

@@ -109,3 +109,14 @@ def test_entities_of_two_documents_have_terms(spark):
             at = text.index(term)
             assert f"term:{at}:{at + len(term)}" in found[i]
     assert all(found[i] == [""] for i in range(len(fill)))
+
+
+def test_copies_do_not_hide_a_term(spark):
+    fill = [prose(i, 60) for i in range(600)]
+    near = [f"{prose(1000 + i, 30)} zanzibar x@y.org {prose(2000 + i, 30)}" for i in range(5)]
+    texts = fill + [t for t in near for _ in range(60)]
+    found = [r.spans for r in sorted(pii.report(docs(spark, texts)).collect(), key=lambda r: r.doc_id)]
+    for spans, text in zip(found[len(fill) :], texts[len(fill) :], strict=True):
+        at = text.index("zanzibar")
+        assert f"term:{at}:{at + 8}" in spans.split(",")
+    assert set(found[: len(fill)]) == {""}
