@@ -38,13 +38,20 @@ class Encoder:
 
     The tokenizer lower-cases, drops white space and never joins what stands on both sides of it,
     nor a letter or digit and the punctuation after it. So a text's ids are those of its words and
-    marks in turn, and each of them is encoded once.
+    marks in turn, and each of them is encoded once. Added tokens such as ``<|endoftext|>`` are cut
+    out of the text as it stands beforehand and give their own ids, as the tokenizer does it.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word or not t.special for t in added.values()):
+            raise ValueError("an added token of the vocabulary is not matched as it stands")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        # lower case can make an added token of what is none in the text
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -75,7 +82,14 @@ class Encoder:
             self.words[word] = ids.tobytes()
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        split = [MARK.sub(rb" \g<0>", (text or "").encode().lower()).split() for text in texts]
+        # stretches between added tokens, and the tokens at the odd places
+        parts = [self.cuts.split(t) if t and any(map(t.__contains__, self.added)) else [t or ""] for t in texts]
+        ids = iter(self.stretches([stretch for part in parts for stretch in part[::2]]))
+        return [b"".join(self.added[x] if i % 2 else next(ids) for i, x in enumerate(part)) for part in parts]
+
+    def stretches(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without added tokens."""
+        split = [MARK.sub(rb" \g<0>", text.encode().lower()).split() for text in texts]
         if len(self.words) > WORDS_KEPT:
             self.words.clear()
         known = self.words.get

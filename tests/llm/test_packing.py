@@ -97,3 +97,17 @@ def test_odd_rows(spark):
     assert packing.packed(spark.createDataFrame([], SCHEMA), PATH).count() == 0
     again = spark.createDataFrame([(1, "a b", None, None, 3)] * 3 + [(None, "c", None, None, 1)], SCHEMA)
     assert sorted(r.offset for r in packing.packed(again, PATH).collect()) == [0, 3, 6, 9]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(
+    ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", "<", " ", "\n", "it's", "'s", "e", "́", "é", "A", "1", ".", "🙂", "İ"]
+)).map("".join), max_size=6))
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(texts):
+    from tokenizers import Tokenizer
+
+    loaded, encoder = Tokenizer.from_file(PATH), packing.encoder(PATH)
+    texts = ["hello <|endoftext|> world", *texts]
+    want = [loaded.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [3306, 49407, 1002]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.texts(texts)] == want
