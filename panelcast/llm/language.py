@@ -76,9 +76,17 @@ def sample_windows(docs: DataFrame, per_lang: int = 400, per_doc: int = 6) -> Da
     return cut_out.groupBy("doc_id").agg(F.min(F.struct("lang", "windows")).alias("_one")).select("doc_id", "_one.*")
 
 
+def sampled(docs: DataFrame, per_lang: int = 400) -> list[tuple]:
+    """``(lang, doc_id, windows)`` of :func:`sample_windows`, in order."""
+    return sorted((r.lang, r.doc_id, r.windows) for r in sample_windows(docs, per_lang).collect())
+
+
 def train(docs: DataFrame, per_lang: int = 400, filters: int = 16, epochs: int = 6, seed: int = 7) -> Model | None:
     """Fit the network on the sampled windows; None if no row is labelled."""
-    rows = sorted((r.lang, r.doc_id, r.windows) for r in sample_windows(docs, per_lang).collect())
+    return train_on(sampled(docs, per_lang), filters, epochs, seed)
+
+
+def train_on(rows: list[tuple], filters: int = 16, epochs: int = 6, seed: int = 7) -> Model | None:
     langs = tuple(sorted({r[0] for r in rows}))
     if not langs:
         return None
@@ -196,6 +204,70 @@ class Predictor:
         return langs, scores
 
 
+def trigrams(text: str) -> np.ndarray:
+    """Byte trigrams around each letter of the lower-cased text; other ASCII counts as a space."""
+    data = np.frombuffer(b" " + text.lower().encode() + b" ", np.uint8)
+    data = LETTERS[data].astype(np.int32)
+    return (data[:-2] << 16 | data[1:-1] << 8 | data[2:])[data[1:-1] != 32]
+
+
+LETTERS = np.array([b if chr(b).isalpha() or b > 127 else 32 for b in range(256)], np.uint8)
+
+
+@dataclass(frozen=True)
+class Gate:
+    """What a text must reach to count as one of the learned languages.
+
+    A softmax over languages can be sure of texts in none of them and torn on texts in several, so
+    the share of known trigrams decides: ``sure`` is asked of texts with at least ``score``, and
+    ``torn`` of the others.
+    """
+
+    known: np.ndarray
+    sure: float
+    torn: float
+    score: float
+
+
+def calibrated(rows: list[tuple], model: Model) -> Gate:
+    """Known trigrams and limits from the sampled windows, none of them held out.
+
+    Shares are those in the windows of all other documents. Of what all but the worst in 200
+    documents reach, 0.6 and 0.9 are asked for; half way from their score down to the
+    ``1 / languages`` of a blind guess the network counts as torn.
+    """
+    texts = [" ".join(bytes(w).decode(errors="ignore") for w in windows) for _, _, windows in rows]
+    found = [trigrams(t) for t in texts]
+    known, documents = np.unique(np.concatenate([np.unique(f) for f in found]), return_counts=True)
+    shared = known[documents > 1]
+    shares = [np.isin(f, shared).mean() for f in found if len(f)]
+    share = float(np.quantile(shares, 0.005)) if shares else 0.0
+    floor, score = 1 / len(model.langs), float(np.quantile(Predictor(model).texts(texts)[1], 0.005))
+    return Gate(known, 0.6 * share, 0.9 * share, floor + (score - floor) / 2)
+
+
+def keep_known(docs: DataFrame, model: Model | None, gate: Gate | None) -> DataFrame:
+    """The rows, with all their columns, that have a letter and as many known trigrams as ``gate`` asks for.
+
+    Without a model nothing can be told of texts but that they have a letter.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << 24, bool)
+        if gate:
+            table[gate.known] = True
+
+        def fits(text: str, score: float) -> bool:
+            return bool(table[trigrams(text)].mean() >= (gate.sure if score >= gate.score else gate.torn))
+
+        for batch, _, scores in predicted_batches(batches, model):
+            texts = batch.column("text").to_pylist()
+            mask = [has_letter(t) and (not gate or fits(t, s)) for t, s in zip(texts, scores, strict=True)]
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def predicted_batches(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[tuple[pa.RecordBatch, list[str], list[float]]]:
     """Each batch with the language and score of its texts, a bounded number of bytes at a time."""
     predictor = Predictor(model) if model else None

@@ -53,3 +53,22 @@ def test_odd_rows(spark):
     assert language.train(empty) is None
     assert [r.lang_pred for r in language.identify(docs(spark, ["hello"]), None).collect()] == ["und"]
     assert language.identify(empty, model).count() == 0
+
+
+PLANTED = [
+    "Это простой русский текст о погоде и людях которые живут в городе. " * 4, "这是一个关于天气和城市居民的简单中文文本。" * 8,
+    "To jest prosty polski tekst o pogodzie i ludziach, którzy mieszkają w mieście. " * 4, "xqzj kwvv zzqk jjxw qqpz vkkx " * 10, "qzx",
+]
+
+
+def test_pipeline_rejects_unlearned_languages_and_keeps_the_rest(spark):
+    import corpus_pipeline
+
+    own = table(spark)
+    planted = spark.createDataFrame([(-1 - i, t, None, "s", len(t or "")) for i, t in enumerate([*PLANTED, None, "", "12 !"])], SCHEMA)
+    kept = corpus_pipeline.identify_language(spark, own.unionByName(planted), SF)
+    clean = {r.doc_id for r in own.collect() if language.has_letter(r.text)}
+    assert {r.doc_id for r in kept.collect()} == clean
+    blank = own.unionByName(planted).withColumn("lang", F.lit(None).cast("string"))
+    unlabelled = corpus_pipeline.identify_language(spark, blank, SF)
+    assert {r.doc_id for r in unlabelled.collect()} == clean | set(range(-len(PLANTED), 0))
