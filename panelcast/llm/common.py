@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batch: pa.RecordBatch, most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, ``most`` bytes of text at a time but one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+    start, ends = 0, np.cumsum(sizes)
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -28,17 +41,18 @@ def numbered(df: DataFrame, group: list[str], spread: Column, order: list[Column
     the cells before it. Which row of a group gets which number is fixed by the rows alone.
     """
     cells = 4 * shuffle_width(df.sparkSession)
-    cell = df.withColumn("_cell", F.pmod(F.xxhash64(spread), F.lit(cells)).cast("int"))
-    keys = [*group, "_cell"]
+    groups = [F.col(c).alias(f"_group{i}") for i, c in enumerate(group)]
+    orders = [c.alias(f"_order{i}") for i, c in enumerate(order)]
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")  # its columns clash with nothing here
+    cell = df.select(row, *groups, *orders, F.pmod(F.xxhash64(spread), F.lit(cells)).cast("int").alias("_cell"))
+    keys = [*(f"_group{i}" for i in range(len(group))), "_cell"]
     counts = cell.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys[:-1]).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    inside = cell.withColumn(
-        "_inside", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1
-    )
-    return inside.join(starts, keys).withColumn(name, F.col("_before") + F.col("_inside")).drop(
-        "_cell", "_before", "_inside"
-    )
+    inside = Window.partitionBy(*keys).orderBy(*(f"_order{i}" for i in range(len(order))))
+    ranked = cell.withColumn("_inside", F.row_number().over(inside).cast("long") - 1).join(starts, keys)
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != name]
+    return ranked.select(*columns, (F.col("_before") + F.col("_inside")).alias(name))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -15,9 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.session import checked_broadcast
+from panelcast.llm.common import slices
+from panelcast.session import checked_broadcast, written
 
 UNKNOWN = "und"
+#: A language's sample is sought among this many (two to the power) slices of the order of its hashes.
+SLICE_BITS = 12
 WIDTHS = (2, 3, 4)
 WINDOW = 256
 STEP = WINDOW - max(WIDTHS) + 1  # windows overlap so that every byte sequence lies whole in one
@@ -53,10 +56,16 @@ def sample_windows(docs: DataFrame, per_lang: int = 400, per_doc: int = 6) -> Da
     train = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        train.select("doc_id", "lang").withColumn("_n", F.row_number().over(rank)).filter(F.col("_n") <= per_lang)
-        .select("doc_id").distinct()
+    # slices of the order of hashes, counted: the last one a language needs is put in exact order
+    ids = train.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).withColumn("slice", F.shiftright("hash", 64 - SLICE_BITS))
+    counts = ids.groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).filter(F.col("before") < per_lang)
+    last = needed.groupBy("lang").agg(F.max("slice").alias("last"))
+    rank = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    chosen = written(
+        ids.join(F.broadcast(last), "lang").filter("slice <= last")  # one row a language
+        .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= per_lang).select("doc_id").distinct(), "sample"
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,8 +281,7 @@ def predicted_batches(batches: Iterator[pa.RecordBatch], model: Model | None) ->
     """Each batch with the language and score of its texts, a bounded number of bytes at a time."""
     predictor = Predictor(model) if model else None
     for whole in batches:
-        for start in range(0, whole.num_rows, 256):
-            batch = whole.slice(start, 256)
+        for batch in slices(whole, 1 << 20):
             texts = batch.column("text").to_pylist()
             if predictor:
                 yield batch, *predictor.texts(texts)
@@ -301,13 +309,3 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double"
     )
 
-
-def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.4) -> DataFrame:
-    """The rows, with all their columns, whose language is known with at least ``min_score``."""
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, langs, scores in predicted_batches(batches, model):
-            mask = [lang != UNKNOWN and score >= min_score for lang, score in zip(langs, scores, strict=True)]
-            yield batch.filter(pa.array(mask, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)

@@ -11,6 +11,7 @@ gathering a length.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -22,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import numbered
+from panelcast.llm.common import numbered, slices
 from panelcast.session import written
 
-#: Most words a worker remembers; beyond it the memory starts anew.
-WORDS_KEPT = 800_000
+#: Words in each of the two generations a worker remembers, some 60 MB together.
+WORDS_KEPT = 150_000
+#: Bytes of text tokenised at a time; a longer text is cut at white space.
+STRETCH = 1 << 17
 #: ASCII punctuation but the apostrophe begins a token of its own after a letter or digit.
 MARK = re.compile(rb"(?<=[a-z0-9])[!-&(-/:-@\[-`{-~]")
 WORD_END = "</w>"
@@ -34,7 +37,7 @@ PIECES = "doc_id {}, piece int, start long, length long, ids_crc32 long, row lon
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian bytes.
+    """Token ids of whole texts as little-endian bytes, in bounded memory.
 
     The tokenizer lower-cases, drops white space and never joins what stands on both sides of it,
     nor a letter or digit and the punctuation after it. So a text's ids are those of its words and
@@ -43,6 +46,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # threads of its own would each keep memory, and a task has one core
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -56,7 +61,9 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        # words met lately and those before them: a word met again moves up, the others are forgotten
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -88,20 +95,41 @@ class Encoder:
         return [b"".join(self.added[x] if i % 2 else next(ids) for i, x in enumerate(part)) for part in parts]
 
     def stretches(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without added tokens."""
+        """Ids of texts without added tokens, however long one is."""
+        if sum(map(len, texts)) <= STRETCH:
+            return self.short(texts)
+        return [b"".join(self.short([x])[0] for x in cut_at_spaces(text)) for text in texts]
+
+    def short(self, texts: list[str]) -> list[bytes]:
         split = [MARK.sub(rb" \g<0>", text.encode().lower()).split() for text in texts]
         if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        known = self.words.get
+            self.older, self.words = self.words, {}
+        known, before = self.words.get, self.older.get
         found = [list(map(known, words)) for words in split]
         gaps = [[i for i, ids in enumerate(ids_) if ids is None] for ids_ in found]
-        self.learn(list({words[i] for words, at in zip(split, gaps, strict=True) for i in at}))
+        missing = {words[i] for words, at in zip(split, gaps, strict=True) for i in at}
+        again = {word: ids for word in missing if (ids := before(word)) is not None}
+        self.words.update(again)
+        self.learn(list(missing - again.keys()))
         for words, ids_, at in zip(split, found, gaps, strict=True):
             for i in at:
                 ids_[i] = known(words[i])
         return [b"".join(ids_) for ids_ in found]
 
 
+SPACE = re.compile(r"[ \t\n\r\f\v]")
+
+
+def cut_at_spaces(text: str) -> Iterator[str]:
+    """The text in stretches of about ``STRETCH`` characters, each but the last ended by white space."""
+    start = 0
+    while start < len(text):
+        found = SPACE.search(text, start + STRETCH)
+        end = found.end() if found else len(text)
+        yield text[start:end]
+        start = end
+
+
 ENCODERS: dict[str, Encoder] = {}
 
 
@@ -123,8 +151,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for whole in batches:
-            for begin in range(0, whole.num_rows, 128):
-                batch = whole.slice(begin, 128)
+            for batch in slices(whole, STRETCH):
                 rows = [
                     (i, k // capacity, k, min(capacity, n - k), zlib.crc32(ids[4 * k : 4 * (k + capacity)]))
                     for i, ids in enumerate(x + end for x in encode.texts(batch.column("text").to_pylist()))

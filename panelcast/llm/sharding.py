@@ -26,13 +26,12 @@ CELL = "cell int, bytes long, rows long, h0 long, h1 long, t0 long, t1 long"
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
-    """Add the key ``_h, _t`` and ``_size``: UTF-8 bytes of the text (null: none) plus 1."""
+    """``_doc``, the whole row, its key ``_h, _t`` and ``_size``: UTF-8 bytes of the text (null: none) plus 1."""
     text = F.coalesce("text", F.lit(""))
-    return docs.withColumns({
-        "_h": F.xxhash64(text),
-        "_t": F.xxhash64(F.col("doc_id")),
-        "_size": (F.octet_length(text) + 1).cast("long"),
-    })
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), F.xxhash64(text).alias("_h"),
+        F.xxhash64("doc_id").alias("_t"), (F.octet_length(text) + 1).cast("long").alias("_size"),
+    )
 
 
 def spaced(low: Key, high: Key, count: int) -> list[Key]:
@@ -130,5 +129,7 @@ def sharded(docs: DataFrame, shards: int = 16, tolerance: float = 0.002) -> Data
     keyed = with_keys(docs)
     keys = written(keyed.select("_h", "_t", "_size"), "shard-keys")
     placed = keyed.withColumn("size", F.col("_size")).withColumn("shard", shard_of(splitters(keys, shards, tolerance)))
-    order = [F.col("_h"), F.col("_t"), F.col("doc_id")]
-    return numbered(placed, ["shard"], F.struct("_h", "_t"), order, "slot").drop("_h", "_t", "_size")
+    order = [F.col("_h"), F.col("_t"), F.col("_doc.doc_id")]
+    ranked = numbered(placed, ["shard"], F.struct("_h", "_t"), order, "slot")
+    kept = [F.col(f"_doc.`{c}`").alias(c) for c in docs.columns if c not in ("size", "shard", "slot")]
+    return ranked.select(*kept, "size", "shard", "slot")

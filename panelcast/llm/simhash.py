@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import components, shuffle_width
+from panelcast.llm.common import components, shuffle_width, slices
 from panelcast.session import written
 
 SEED = 42
@@ -51,16 +51,19 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, row, fp`` of every row: a hash of the text, and the 64 bits as a signed long."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
+            for batch in slices(whole, 1 << 20):
                 found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("row"), pa.array(found.view(np.int64))], names=["doc_id", "row", "fp"]
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(compute, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
+        compute, f"doc_id {dict(docs.dtypes)['doc_id']}, row long, fp long"
+    )
 
 
 def block_masks(free: int, bits: int) -> list[int]:
@@ -76,6 +79,7 @@ def block_masks(free: int, bits: int) -> list[int]:
 def spanning_forest(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links of at most ``bits`` bits that connect what all such links connect."""
     parent = np.arange(len(fps))
+    links = []
     for start in range(0, len(fps), 256):
         part = fps[start : start + 256]
         near = np.bitwise_count(part[:, None] ^ fps[None, start:]) <= bits
@@ -87,10 +91,8 @@ def spanning_forest(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
                 parent[b] = b = parent[parent[b]]
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    roots = parent.copy()
-    while (roots != parent[roots]).any():
-        roots = parent[roots]
-    return [(int(fps[i]), int(fps[r])) for i, r in enumerate(roots) if i != r]
+                links.append((int(fps[start + i]), int(fps[start + j])))
+    return links
 
 
 def keyed(buckets: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
@@ -184,6 +186,17 @@ def linked(distinct: DataFrame, bits: int = 4, most: int = MOST) -> DataFrame:
             return links
 
 
+def classes(prints: DataFrame, bits: int) -> DataFrame:
+    """``fp, root, component_id`` of every fingerprint: the root names its component, whatever the ids are."""
+    smallest = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(linked(smallest.select("fp"), bits))
+    rooted = smallest.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.select("fp", "root").join(named, "root")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row.
 
@@ -193,13 +206,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     ``doc_id`` is never a component's name unless nothing else is in it. No rows give no rows.
     """
     prints = written(fingerprints(docs, shingle), "fingerprints")
-    smallest = prints.groupBy("fp").agg(F.min("doc_id").alias("_least"))
-    roots = components(linked(smallest.select("fp"), bits))
-    classes = smallest.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "_least", F.coalesce("root", "fp").alias("_root")
-    )
-    named = classes.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    return prints.join(classes.select("fp", "_root").join(named, "_root"), "fp").select(
+    return prints.join(classes(prints, bits), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -207,12 +214,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
 def first_of_each(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest ``doc_id``.
 
-    Of rows that share that ``doc_id`` the one with the smallest text hash stays; the first of
-    identical rows stays.
+    Components are told apart by their fingerprints, so rows without an id, or with one id in
+    several components, lose nothing: a component whose ids are all null keeps one row. Of rows of a
+    component that share the smallest id the one with the smallest text hash stays, and of rows with
+    that id and text the one whose other columns hash smallest.
     """
-    found = near_duplicates(docs, shingle, bits)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_name")
-    chosen = found.select(F.col("component_id").alias("doc_id")).distinct().select(name)
-    kept = docs.withColumn("_name", name).join(chosen, "_name", "left_semi")
-    first = Window.partitionBy("_name").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").select(*docs.columns)
+    prints = written(fingerprints(docs, shingle), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    chosen = prints.join(classes(prints, bits), "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.*")
+    rows = docs.select(  # the whole row in one column, so that none of its own clashes
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash")
+    )
+    same = rows["id"].eqNullSafe(chosen["doc_id"]) & (rows["text_hash"] == chosen["row"])
+    once = Window.partitionBy("id", "text_hash").orderBy(F.xxhash64("doc"))
+    kept = rows.join(chosen, same, "left_semi").withColumn("rank", F.row_number().over(once)).filter("rank = 1")
+    return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))

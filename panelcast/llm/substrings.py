@@ -76,7 +76,7 @@ def phrases(text: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 def version(text: Column) -> Column:
     """Tells texts apart that share a ``doc_id``."""
-    return F.xxhash64(text).bitwiseAND((1 << 23) - 1)
+    return F.xxhash64(text)
 
 
 def parsed(docs: DataFrame, length: int) -> DataFrame:

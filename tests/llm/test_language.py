@@ -1,6 +1,7 @@
 import zlib
 
-from cases import ODD, SCHEMA, SF, clashing, docs, table
+import numpy as np
+from cases import ODD, SCHEMA, SF, clashing, docs, prose, table
 from pyspark.sql import functions as F
 
 from panelcast.llm import language, queries
@@ -38,6 +39,36 @@ def test_answers_follow_from_the_text_alone(spark):
     assert all(first[i][0] == again[i][0] and abs(first[i][1] - again[i][1]) < 1e-6 for i in first)
 
 
+def plain_probabilities(model, window):
+    """The network written out: every filter at every place of one window, the largest response, softmax."""
+    tops = []
+    for table in model.filters:
+        responses = [sum(table[j][window[at + j]].astype(float) for j in range(len(table))) for at in range(len(window) - len(table) + 1)]
+        tops.append(np.max(responses, axis=0))
+    scores = np.maximum(np.concatenate(tops) + model.bias, 0) @ model.dense.astype(float) + model.dense_bias
+    return np.exp(scores - scores.max()) / np.exp(scores - scores.max()).sum()
+
+
+def test_tables_and_windows_equal_a_plain_forward_pass(spark):
+    model = language.train(table(spark))
+    texts = ["Ein kurzer Text.", prose(3), prose(4, 400), "é" * 300]
+    langs, scores = language.Predictor(model).texts(texts)
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        data = text.encode()
+        starts = range(0, max(1, len(data) - language.WINDOW + language.STEP), language.STEP)
+        windows = [data[s : s + language.WINDOW].ljust(language.WINDOW, b"\0") for s in starts]
+        mean = np.mean([plain_probabilities(model, w) for w in windows], axis=0)
+        assert lang == model.langs[int(mean.argmax())] and abs(score - mean.max()) < 1e-4
+
+
+def test_sample_is_the_first_by_hash_of_each_language(spark):
+    rows = language.sampled(table(spark), per_lang=7)
+    labelled = table(spark).filter(~language.held_out() & F.col("lang").isNotNull()).select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).collect()
+    for lang in {r.lang for r in labelled}:
+        first = sorted((r for r in labelled if r.lang == lang), key=lambda r: r.h)[:7]
+        assert sorted(i for name, i, _ in rows if name == lang) == sorted(r.doc_id for r in first)
+
+
 def test_odd_rows(spark):
     model = language.train(table(spark))
     frame = clashing(docs(spark, [*ODD, "a", "a"]), "held_out", "score", "lang_pred")
@@ -46,7 +77,7 @@ def test_odd_rows(spark):
         lettered = text is not None and any(c.isalpha() for c in text)
         assert (rows[i].lang_pred == "und") == (not lettered)
     assert rows[len(ODD)].score == rows[len(ODD) + 1].score
-    kept = language.keep_identified(frame, model, 0.0)
+    kept = language.keep_known(frame, model, None)
     assert kept.columns == frame.columns
     assert kept.count() == sum(r.lang_pred != "und" for r in rows.values())
     empty = spark.createDataFrame([], SCHEMA)

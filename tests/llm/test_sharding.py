@@ -53,3 +53,11 @@ def test_odd_tables(spark):
     frame = docs(spark, [prose(i) for i in range(50)])
     first, again = (sharding.sharded(x).orderBy("doc_id").collect() for x in (frame, frame.orderBy(F.rand())))
     assert first == again
+
+
+def test_columns_with_working_names_come_back_as_they_were(spark):
+    names = ("_h", "_t", "_size", "_cell", "_before", "_inside", "_row", "_doc", "_group0", "_order0", "_rows")
+    frame = clashing(docs(spark, [prose(i) for i in range(30)]), *names)
+    rows = sharding.sharded(frame, shards=4)
+    assert rows.columns == [*frame.columns, "size", "shard", "slot"]
+    assert all(r[c] == "clash" for r in rows.collect() for c in names)

@@ -84,7 +84,22 @@ def test_odd_rows_and_extra_columns(spark):
     assert simhash.near_duplicates(empty).count() == 0 == simhash.first_of_each(empty).count()
 
 
-def test_one_row_stays_of_repeated_ids(spark):
-    frame = spark.createDataFrame([(5, "a b c d", None, None, 7)] * 3 + [(5, prose(9), None, None, 1), (None, prose(8), "en", "s", 1)], SCHEMA)
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    same = [(5, "a b c d", None, None, 7)] * 3
+    frame = spark.createDataFrame([*same, (5, prose(9), None, None, 1), (None, prose(8), "en", "s", 1), (None, prose(7), "en", "s", 1)], SCHEMA)
     kept = simhash.first_of_each(frame).collect()
-    assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 5), (True, None)]
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(5, "a b c d"), (5, prose(9)), (0, prose(8)), (0, prose(7))])
+
+
+def test_documents_without_ids_are_not_lost(spark):
+    texts = [prose(i) for i in range(40)]
+    frame = spark.createDataFrame([(None, t, "en", "s", 1) for t in texts * 2], SCHEMA)
+    assert sorted(r.text for r in simhash.first_of_each(frame).collect()) == sorted(texts)
+
+
+def test_columns_with_working_names_come_back_as_they_were(spark):
+    frame = clashing(docs(spark, [prose(1), prose(1), prose(2)]), "_name", "_rank", "rank", "row", "doc", "id", "text_hash", "root", "fp")
+    kept = simhash.first_of_each(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
+    assert all(r[c] == "clash" for r in kept.collect() for c in frame.columns[5:])
