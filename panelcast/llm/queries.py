@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import language, mixing, packing, pii, secrets, sharding, simhash, substrings, syncmers, vectors
+from panelcast.llm import language, mixing, packing, pii, runs, secrets, sharding, simhash, substrings, syncmers, vectors
 from panelcast.llm.common import table
 from panelcast.session import scratch_path
 from panelcast.workload.registry import Query
@@ -91,6 +91,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), hashed).drop("runs", "collapsed")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
