@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import language, mixing, packing, pii, runs, secrets, sharding, simhash, substrings, syncmers, vectors
+from panelcast.llm import language, lexical, mixing, packing, pii, runs, secrets, sharding, simhash, substrings, syncmers, vectors
 from panelcast.llm.common import table
 from panelcast.session import scratch_path
 from panelcast.workload.registry import Query
@@ -14,9 +14,11 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, sql: str | None = None):
     def register(function: Query) -> Query:
         QUERIES[name] = function
+        if sql is not None:
+            SQL[name] = sql
         return function
 
     return register
@@ -97,6 +99,28 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(table(spark, sf_dir, "documents"), hashed).drop("runs", "collapsed")
 
 
+LEXICAL_SQL = r"""WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+facts AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS documents, CAST(sum(len(terms)) AS BIGINT) AS total FROM split),
+postings AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM split) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, facts GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // total)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), facts GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""
+
+
+@query("op12_lexical_search", LEXICAL_SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
