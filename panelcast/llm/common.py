@@ -55,6 +55,24 @@ def numbered(df: DataFrame, group: list[str], spread: Column, order: list[Column
     return ranked.select(*columns, (F.col("_before") + F.col("_inside")).alias(name))
 
 
+#: A group with more than one in this many of all rows counts as hot; there are fewer of them.
+HOT_SHARE = 1000
+
+
+def grouped_rows(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the columns of their group, the one row of ``groups`` with their ``keys``; others go.
+
+    ``groups`` has the number of rows of each group as ``n``, which is not passed on, and both are
+    written tables, as they are read twice. Hot groups, fewer than ``HOT_SHARE``, are broadcast, so
+    their rows stay where they are; the others are joined by shuffle, none too large for a task.
+    """
+    least = rows.count() // HOT_SHARE
+    hot, cold = (groups.filter(c).drop("n") for c in (F.col("n") > least, F.col("n") <= least))
+    hot = F.broadcast(hot)
+    far = rows.join(hot.select(*keys), keys, "left_anti").join(cold.hint("merge"), keys)
+    return rows.join(hot, keys).unionByName(far)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of links ``(a, b)`` as ``(node, root)``; root is the smallest node.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import language, lexical, mixing, packing, pii, runs, secrets, sharding, simhash, substrings, syncmers, vectors
+from panelcast.llm import language, lexical, mixing, packing, pii, recompression, runs, secrets, sharding, simhash, substrings, syncmers, vectors
 from panelcast.llm.common import table
 from panelcast.session import scratch_path
 from panelcast.workload.registry import Query
@@ -121,6 +121,26 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+REPEATS_SQL = r"""WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(len(words) - 12)) AS i FROM split WHERE len(words) >= 13),
+starts AS (SELECT doc_id, i, sha256(array_to_string(words[i + 1:i + 13], ' ')) AS w FROM places),
+firsts AS (SELECT w, min(doc_id) AS first FROM starts GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS word FROM starts JOIN firsts USING (w) WHERE doc_id > first),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS k FROM split) t
+  WHERE NOT EXISTS (FROM gone g WHERE g.doc_id = t.doc_id AND g.word = t.k) GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256 FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id"""
+
+
+@query("op13_substring_dedup", REPEATS_SQL)
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.deduplicated(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
