@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.conform import with_absent_as_null
 from panelcast.operators.snapshot import latest_season
+from panelcast.sources.versions import Change, Version, commit
 
 
 def first_corrections(sources: DataFrame, entity: str = "id", period: str = "gameweek", value: str = "event_points", file: str = "file_name") -> DataFrame:
@@ -60,6 +61,45 @@ def patch_zero_targets(
     return closed.unionByName(patched), counts
 
 
+def changed_periods(
+    panel: DataFrame,
+    sources: DataFrame,
+    season: str = "season",
+    entity: str = "id",
+    period: str = "gameweek",
+    target: str = "event_points",
+) -> DataFrame:
+    """The ``season, period`` of the rows of ``panel`` that a patch would change: zeros with a positive second value."""
+    fixes = first_corrections(sources, entity, period, target).where("api_points >= 0")
+    return panel.where(F.col(target) == 0).join(fixes, [entity, period], "left_semi").select(season, period).distinct()
+
+
+def patch_version(
+    base: Version,
+    sources: DataFrame,
+    table: str = "panel",
+    season: str = "season",
+    entity: str = "id",
+    period: str = "gameweek",
+    target: str = "event_points",
+    original: str = "event_points_orig",
+) -> Version:
+    """Patch a versioned table, partitioned by season and period, and publish the next version.
+
+    Of the latest season the periods with something to change are found first; only they are read
+    whole, patched and written, all others keep their folders. Without any, ``base`` is returned.
+    """
+    places = base.places(table)
+    newest = max((p[season] for p in places if p[season] is not None), default=None)
+    panel = base.table(table)
+    latest = panel.where(F.col(season) == newest)
+    changed = [r[period] for r in changed_periods(latest, sources, season, entity, period, target).collect()]  # periods of one season
+    if not changed:
+        return base
+    rows, _ = patch_zero_targets(latest.where(F.col(period).isin(changed)), sources, season, entity, period, target, original)
+    return commit(base, {table: Change(rows, (season, period))})
+
+
 def season_rows(panel: DataFrame, season: str = "season") -> DataFrame:
     """One row: how many rows the latest season has."""
     return latest_season(panel, season).agg(F.count(F.lit(1)).alias("rows"))

@@ -1,14 +1,13 @@
-"""Partitioned tables that replace only the periods written, and versioned tables."""
+"""Partitioned tables that replace only the periods written, and CSV exports."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from panelcast.sources.tree import CSV_OPTIONS, list_files
+from panelcast.sources.tree import CSV_OPTIONS
 
 # Text is written as it is, with its spaces.
 CSV_WRITE_OPTIONS = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -34,42 +33,3 @@ def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and no index."""
     df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
-
-def published(spark: SparkSession, root: str, version: int | None = None):
-    """``version, folder`` of the newest published version, or of a given one; None if there is none.
-
-    Of two writers that published the same number the greater folder name counts, for every reader.
-    """
-    if not list_files(spark, f"{root}/published*"):
-        return None
-    rows = spark.read.schema("version int, folder string").json(f"{root}/published")
-    rows = rows if version is None else rows.where(F.col("version") == version)
-    return rows.agg(F.max(F.struct("version", "folder"))).first()[0]
-
-
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """The newest published version of a table, or None."""
-    newest = published(spark, root)
-    return newest and newest["version"]
-
-
-def write_version(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version and publish it afterwards, so its source may be the version before.
-
-    Every write has a folder of its own, so nothing that was published is ever overwritten, also not
-    by a second writer of the same version, and a write that fails is never published.
-    """
-    spark = df.sparkSession
-    version = (current_version(spark, root) or 0) + 1
-    folder = f"v{version}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/data/{folder}")
-    spark.range(1).select(F.lit(version).alias("version"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").json(f"{root}/published")
-    return version
-
-
-def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The newest published version, or a given one."""
-    found = published(spark, root, version)
-    if found is None:
-        raise FileNotFoundError(f"no published version in {root}")
-    return spark.read.parquet(f"{root}/data/{found['folder']}")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from panelcast.operators.patch import patch_zero_targets, season_rows
+from panelcast.operators.patch import patch_version, patch_zero_targets, season_rows
 from panelcast.operators.conform import repeated_keys
 from panelcast.operators.rank import first_periods, sorted_distinct, top_by_group, top_overall
 from panelcast.operators.reconcile import (
@@ -29,7 +31,7 @@ from panelcast.operators.rolling import FORM_ALL
 from panelcast.operators.snapshot import sum_by_entity
 from panelcast.plans.models import best_row
 from panelcast.session import scratch_path
-from panelcast.sources.sink import read_version, write_version
+from panelcast.sources import versions
 from panelcast.sources.tree import one_season
 from panelcast.workload import roles
 from panelcast.workload.feature_queries import WIDE_MODEL
@@ -288,8 +290,19 @@ def patch_counts(spark, sf_dir):
 
 @query("patch_versioned", PATCH_SQL + "SELECT * FROM patched")
 def patch_versioned(spark, sf_dir):
-    """The patch reads version 1 of a table and publishes version 2 beside it."""
-    root = scratch_path(spark, "panel-versions")
-    write_version(zeroed_panel(spark, sf_dir), root)
-    write_version(patch_zero_targets(read_version(spark, root), corrections(spark, sf_dir))[0], root)
-    return read_version(spark, root)
+    """The patch reads version 1 of a table and publishes version 2, which shares the folders of all periods that stay."""
+    empty = versions.current(spark, scratch_path(spark, "panel-versions"))
+    first = versions.commit(empty, {"panel": versions.Change(zeroed_panel(spark, sf_dir))})
+    return patch_version(first, corrections(spark, sf_dir)).table("panel")
+
+
+@query("patch_rewrites", PATCH_SQL + """, touched AS (SELECT season, gameweek, bool_or(patch) AS rewritten FROM matched GROUP BY 1, 2)
+  SELECT season, gameweek, rewritten FROM touched""")
+def patch_rewrites(spark, sf_dir):
+    """Which periods a patch of a few corrections writes again; the others keep their folders."""
+    empty = versions.current(spark, scratch_path(spark, "panel-versions"))
+    first = versions.commit(empty, {"panel": versions.Change(zeroed_panel(spark, sf_dir))})
+    second = patch_version(first, corrections(spark, sf_dir))
+    before, after = first.folders("panel"), second.folders("panel")
+    rows = [(p["season"], p["gameweek"], before[k] != after[k]) for k in after for p in [json.loads(k)]]
+    return spark.createDataFrame(rows, "season string, gameweek int, rewritten boolean")

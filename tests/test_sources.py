@@ -162,19 +162,6 @@ def test_period_sink_replaces_only_its_periods(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["season", "gameweek", "id"]
 
 
-def test_versions(spark, tmp_path):
-    root = str(tmp_path / "v")
-    assert sink.current_version(spark, root) is None
-    with pytest.raises(FileNotFoundError):
-        sink.read_version(spark, root)
-    assert sink.write_version(spark.range(3), root) == 1
-    assert sink.write_version(sink.read_version(spark, root).where("id > 0"), root) == 2
-    assert sink.read_version(spark, root).count() == 2 and sink.read_version(spark, root, 1).count() == 3
-    with pytest.raises(Exception):
-        sink.write_version(spark.range(1).select(F.raise_error(F.lit("x")).cast("int").alias("id")), root)
-    assert sink.current_version(spark, root) == 2
-
-
 def test_names_of_folders_are_decoded_and_no_file_is_lost(spark, tmp_path):
     for season in ("Saison é#24", "a+b", "100%", "x y"):
         folder = tmp_path / season / "By Gameweek" / "GW3"
