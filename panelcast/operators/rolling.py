@@ -87,7 +87,8 @@ def _aggregate(spec: Roll, value: Column) -> Column:
     return {"avg": F.avg, "sum": F.sum}[spec.agg](value)
 
 
-def _past_only(specs: Sequence[Lag | Roll], window) -> dict[str, Column]:
+def past_only(specs: Sequence[Lag | Roll], window) -> dict[str, Column]:
+    """The columns of ``specs`` over rows before the current one in ``window``."""
     return {
         s.name: F.lag(s.column).over(window)
         if isinstance(s, Lag)
@@ -96,7 +97,8 @@ def _past_only(specs: Sequence[Lag | Roll], window) -> dict[str, Column]:
     }
 
 
-def _widest(specs: Sequence[Lag | Roll]) -> int:
+def widest(specs: Sequence[Lag | Roll]) -> int:
+    """How many rows back the specs look."""
     return max(s.width if isinstance(s, Roll) else 1 for s in specs)
 
 
@@ -117,7 +119,7 @@ def rolling_features(
         return _over_whole_table(df, specs, keys, order, block_rows)
     if mode != "entity":
         raise ValueError(f"mode must be entity or global, not {mode!r}")
-    features = _past_only(specs, W.partitionBy(*keys).orderBy(*order))
+    features = past_only(specs, W.partitionBy(*keys).orderBy(*order))
     if hot_rows is None:
         return df.withColumns(features)
     # Map-side partial counts make this pass cheap for any skew; at most rows / hot_rows keys qualify.
@@ -133,14 +135,14 @@ def rolling_features(
 
 def _in_blocks(df, specs, keys, order, block_rows) -> DataFrame:
     """Entity windows where one entity spreads over several blocks."""
-    halo = with_halo(number_rows(df, [*keys, *order]), _widest(specs), block_rows)
+    halo = with_halo(number_rows(df, [*keys, *order]), widest(specs), block_rows)
     window = W.partitionBy("_block", *keys).orderBy("_row")
-    return halo.withColumns(_past_only(specs, window)).where(~F.col("_copy")).drop("_row", "_block", "_copy")
+    return halo.withColumns(past_only(specs, window)).where(~F.col("_copy")).drop("_row", "_block", "_copy")
 
 
 def _over_whole_table(df, specs, keys, order, block_rows) -> DataFrame:
     """Lag inside the entity, then frames over the table in key order."""
-    halo = with_halo(number_rows(df, [*keys, *order]), _widest(specs), block_rows)
+    halo = with_halo(number_rows(df, [*keys, *order]), widest(specs), block_rows)
     window = W.partitionBy("_block").orderBy("_row")
     same_entity = F.lit(True)
     for key in keys:

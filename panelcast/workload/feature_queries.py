@@ -9,11 +9,14 @@ from panelcast.functions.features import reached, total_of
 from panelcast.functions.paths import path_part, period_from_name
 from panelcast.functions.text import comparison_key, contains_ignoring_case, safe_tag
 from panelcast.operators import conform as cf
+from panelcast.operators.carry import advance, state_columns
 from panelcast.operators.enrich import attach_names, attach_team, left_lookup
 from panelcast.operators.pairs import keep_competition, team_rows
 from panelcast.operators.rolling import FORM_ALL, FORM_LAST3, HOT_ROWS, Lag, Roll, rolling_features, with_form_inputs
 from panelcast.operators.snapshot import current_form, last_period, latest_rows, next_period_rows
 from panelcast.plans.model_table import EXTENDED_BASIC, MODEL_COLUMNS, engineered, model_table, time_split
+from panelcast.session import scratch_path
+from panelcast.sources import versions
 from panelcast.sources.tree import PERIOD_PATH, one_season
 from panelcast.workload import roles
 from panelcast.workload.registry import query
@@ -218,6 +221,19 @@ def rolling_all(spark, sf_dir):
     return rounded(rows.select("season", "id", "gameweek", *ALL_FORM), *ALL_FORM)
 
 
+@query("rolling_carried", ROLES_SQL + f"SELECT season, id, gameweek, {sql_rounded(*ALL_FORM)} FROM rolled")
+def rolling_carried(spark, sf_dir):
+    """The same features, rolled in steps from a carried state: all up to the cutoff, then period by period."""
+    empty = versions.current(spark, scratch_path(spark, "carried"))
+    panel = with_form_inputs(roles.panel(spark, sf_dir)).select(*state_columns(FORM_ALL, ("season", "id"), ("gameweek",)))
+    landed = versions.commit(empty, {"panel": versions.Change(panel)})
+    at = advance(landed, landed.table("panel").where(F.col("gameweek") <= roles.CUTOFF), FORM_ALL)
+    for period in sorted({p["gameweek"] for p in landed.places("panel")}):
+        if period > roles.CUTOFF:
+            at = advance(at, landed.table("panel").where(F.col("gameweek") == period), FORM_ALL)
+    return rounded(at.table("features").select("season", "id", "gameweek", *ALL_FORM), *ALL_FORM)
+
+
 ORDER_SPECS = (
     Lag("o_totalprice", "prev"), Roll("o_totalprice", "avg", 3, "avg_last3"), Roll("o_totalprice", "avg", 5, "avg_last5"),
     Roll("urgent", "sum", 3, "urgent_last3"), Roll("urgent", "sum", 5, "urgent_last5"),
