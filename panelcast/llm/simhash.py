@@ -221,11 +221,12 @@ def first_of_each(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame
     """
     prints = written(fingerprints(docs, shingle), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    chosen = prints.join(classes(prints, bits), "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.*")
+    chosen = prints.join(classes(prints, bits), "fp").groupBy("root").agg(F.min(place).alias("first")).select(
+        F.xxhash64("first.doc_id").alias("id_hash"), F.col("first.row").alias("text_hash")
+    )
     rows = docs.select(  # the whole row in one column, so that none of its own clashes
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash")
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash")
     )
-    same = rows["id"].eqNullSafe(chosen["doc_id"]) & (rows["text_hash"] == chosen["row"])
-    once = Window.partitionBy("id", "text_hash").orderBy(F.xxhash64("doc"))
-    kept = rows.join(chosen, same, "left_semi").withColumn("rank", F.row_number().over(once)).filter("rank = 1")
+    once = Window.partitionBy("id_hash", "text_hash").orderBy(F.xxhash64("doc"))  # as dealt for the join
+    kept = rows.join(chosen, ["id_hash", "text_hash"], "left_semi").withColumn("rank", F.row_number().over(once)).filter("rank = 1")
     return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
