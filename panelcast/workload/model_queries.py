@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.plans import models
+from panelcast.plans import models, moments
 from panelcast.plans.model_table import FEATURE_SETS, TARGET, engineered, model_table, time_split
 from panelcast.sources.tree import one_season
 from panelcast.workload import roles
@@ -76,6 +76,62 @@ def ridge_residuals(spark, sf_dir):
     return rounded(rows, "predicted_points", "error", "abs_error", digits=5)
 
 
+ORIGIN_SQL = RIDGE_SQL + """, sums AS (
+  SELECT gameweek, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(y) AS y, sum(a * a) AS aa, sum(b * b) AS bb, sum(a * b) AS ab,
+    sum(a * y) AS ay, sum(b * y) AS by_ FROM two GROUP BY 1),
+running AS (
+  SELECT gameweek AS cutoff, lead(gameweek) OVER w AS next_period, sum(n) OVER w AS n, sum(a) OVER w / sum(n) OVER w AS ma,
+    sum(b) OVER w / sum(n) OVER w AS mb, sum(y) OVER w / sum(n) OVER w AS my,
+    sum(aa) OVER w - (sum(a) OVER w) ** 2 / sum(n) OVER w + 1 AS saa, sum(bb) OVER w - (sum(b) OVER w) ** 2 / sum(n) OVER w + 1 AS sbb,
+    sum(ab) OVER w - sum(a) OVER w * sum(b) OVER w / sum(n) OVER w AS sab, sum(ay) OVER w - sum(a) OVER w * sum(y) OVER w / sum(n) OVER w AS say,
+    sum(by_) OVER w - sum(b) OVER w * sum(y) OVER w / sum(n) OVER w AS sby FROM sums WINDOW w AS (ORDER BY gameweek)),
+slopes AS (
+  SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS ca, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS cb
+  FROM running WHERE next_period IS NOT NULL),
+origins AS (SELECT *, my - ca * ma - cb * mb AS c0 FROM slopes),
+judged AS (SELECT cutoff, next_period, gameweek, y - c0 - ca * a - cb * b AS residual FROM origins, two)
+"""
+
+
+@query("ridge_origins", ORIGIN_SQL + """SELECT 'two' AS feature_set, o.cutoff, CAST(any_value(n) AS BIGINT) AS "rows", round(any_value(ca), 5) AS points,
+  round(any_value(cb), 5) AS minutes, round(any_value(c0), 5) AS intercept, o.next_period,
+  round(sqrt(avg(residual ** 2) FILTER (WHERE gameweek <= o.cutoff)), 5) AS train_rmse,
+  count(*) FILTER (WHERE gameweek = o.next_period) AS next_rows,
+  round(sqrt(avg(residual ** 2) FILTER (WHERE gameweek = o.next_period)), 5) AS next_rmse,
+  count(*) FILTER (WHERE gameweek > o.cutoff) AS test_rows,
+  round(sqrt(avg(residual ** 2) FILTER (WHERE gameweek > o.cutoff)), 5) AS test_rmse
+  FROM origins o JOIN judged j ON j.cutoff = o.cutoff GROUP BY o.cutoff, o.next_period""")
+def ridge_origins(spark, sf_dir):
+    """A ridge fit at every cutoff of the season with its errors, from one aggregate."""
+    rows = moments.rolling_origin(current_table(spark, sf_dir), {"two": RIDGE_FEATURES})
+    named = rows.withColumns({n: F.col("coefficients")[i] for i, n in enumerate(("points", "minutes"))}).drop("coefficients")
+    return rounded(named, "points", "minutes", "intercept", "train_rmse", "next_rmse", "test_rmse", digits=5)
+
+
+@query("ridge_origin_errors", ORIGIN_SQL + """SELECT 'two' AS feature_set, cutoff, count(*) AS "rows", round(avg(abs(residual)), 5) AS mae
+  FROM judged WHERE gameweek = next_period GROUP BY cutoff""")
+def ridge_origin_errors(spark, sf_dir):
+    """The mean absolute error of each of these fits on the period that follows."""
+    table, sets = current_table(spark, sf_dir), {"two": RIDGE_FEATURES}
+    return rounded(moments.origin_errors(table, moments.rolling_origin(table, sets), sets), "mae", digits=5)
+
+
+@query("ridge_origin_sets", ROLES_SQL + """, wide AS (
+  SELECT *, team_elo - opp_elo AS elo_diff, form * is_home AS form_x_home FROM model WHERE season = '2024-B'),
+complete AS (
+  SELECT gameweek, elo_diff IS NOT NULL AND form_x_home IS NOT NULL AS interact FROM wide
+  WHERE pts_avg_last3 IS NOT NULL AND mins_avg_last3 IS NOT NULL AND played60_rate_last3 IS NOT NULL AND now_cost IS NOT NULL
+    AND selected_by_percent IS NOT NULL AND form IS NOT NULL AND team_elo IS NOT NULL AND opp_elo IS NOT NULL),
+rows AS (
+  SELECT feature_set, gameweek, count(*) AS n FROM complete, (VALUES ('baseline', false), ('extended_basic', false), ('extended_interact', true)) s(feature_set, needs)
+  WHERE interact OR NOT needs GROUP BY 1, 2)
+SELECT feature_set, gameweek AS cutoff, CAST(sum(n) OVER w AS BIGINT) AS "rows", lead(n) OVER w AS next_rows FROM rows
+  WINDOW w AS (PARTITION BY feature_set ORDER BY gameweek) QUALIFY lead(n) OVER w IS NOT NULL""")
+def ridge_origin_sets(spark, sf_dir):
+    """How many rows each feature set's fit has at each cutoff, and the period after it; one job for all fits."""
+    return moments.rolling_origin(current_table(spark, sf_dir)).select("feature_set", "cutoff", "rows", "next_rows")
+
+
 GRID_SETTINGS = models.Settings(forest_trees=30, forest_depth=10, boost_rounds=20)
 
 # Nine fits serve three queries, one forest four: each is fitted once a session and folder.
