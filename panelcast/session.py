@@ -68,15 +68,35 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+# Removes a query's shuffle files when it has ended, not when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as a table in the shared folder and read it back.
 
     A lost executor cannot change rows that are already written, and later steps read only the
-    columns they need.
+    columns they need. The shuffle files behind the table are not needed any more and go at once.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(table: DataFrame) -> None:
+    """Remove a written table that nothing reads any more."""
+    files = table.inputFiles()
+    spark = table.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in [p for p in SCRATCH if any(f"/{p.rsplit('/', 1)[-1]}/" in f for f in files[:1])]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+        SCRATCH.remove(folder)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -55,25 +56,28 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(map(unquote, files))
 
 
-def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header to files, in one job over all files; empty files are under the empty header.
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, or None if it has none. One buffer is read, however long the file is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(conf).open(file)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def headers_of(spark: SparkSession, paths: Sequence[str], parallelism: int = 32) -> dict[tuple[str, ...], list[str]]:
+    """Header to files; empty files are under the empty header.
 
-    The first line of a file is the first one of the block that begins at 0. What comes back is one
-    short line a file, as the listing itself is.
+    Like the footers of Parquet files, headers are read where the plan is made, ``parallelism`` at a
+    time: a Spark task that stops after one line still reads its part of the file to the end.
     """
-    if not paths:
-        return {}
-    lines = spark.read.text(list(paths)).where("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
-    )
-    found = lines.groupBy("file").agg(F.min_by("value", "at").alias("line")).select(
-        F.regexp_replace(decoded(F.col("file")), "^file:/+", "file:/").alias("file"), "line"
-    )
-    first = {r["file"]: r["line"] for r in found.collect()}
+    with ThreadPoolExecutor(parallelism) as pool:
+        lines = list(pool.map(lambda path: first_line(spark, path), paths))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        line = first.get(re.sub("^file:/+", "file:/", path), "")
-        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+    for path, line in zip(paths, lines, strict=True):
+        names = next(csv.reader([(line or "").lstrip("\ufeff")]), [])
         groups.setdefault(tuple(name.strip() for name in names), []).append(path)
     return groups
 

@@ -177,17 +177,27 @@ def test_names_of_folders_are_decoded_and_no_file_is_lost(spark, tmp_path):
     assert sorted(outcomes) == ["empty"] * 4 + ["lacks w"] * 4
 
 
-def test_headers_take_one_job(spark, tmp_path):
-    tracker, jobs = spark.sparkContext.statusTracker(), []
-    for files in (3, 40):
-        folder = tmp_path / str(files)
-        folder.mkdir()
-        for i in range(files):
-            (folder / f"{i}.csv").write_text(f"id,c{i % 2}\n1,2\n3,4\n")
-        paths = tree.list_files(spark, f"{folder}/*.csv")
-        spark.sparkContext.setJobGroup(f"headers-{files}", "")
-        groups = tree.headers_of(spark, paths)
-        jobs.append(len(tracker.getJobIdsForGroup(f"headers-{files}")))
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-        assert {h: len(f) for h, f in groups.items()} == {("id", "c0"): -(-files // 2), ("id", "c1"): files // 2}
-    assert max(jobs) <= 3  # with many paths Spark lists them in a job of its own
+def test_headers_read_a_buffer_of_each_file_and_run_no_job(spark, tmp_path):
+    """What is read does not grow with the files."""
+    paths = []
+    for i in range(40):
+        path = tmp_path / f"{i}.csv"
+        path.write_text(f"id,c{i % 2}\n" + f"{i},{'x' * 90}\n" * (100_000 if i < 3 else 2))
+        paths.append(f"file:{path}")
+    files, tracker = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem, spark.sparkContext.statusTracker()
+
+    def read() -> int:
+        return sum(s.getBytesRead() for s in files.getAllStatistics())
+
+    before = read()
+    spark.sparkContext.setJobGroup("headers", "")
+    groups = tree.headers_of(spark, paths)
+    jobs = tracker.getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {h: len(f) for h, f in groups.items()} == {("id", "c0"): 20, ("id", "c1"): 20}
+    assert not jobs and 0 < read() - before < 40 * 70_000
+    assert sum(p.stat().st_size for p in tmp_path.iterdir()) > 25_000_000
+    blank = tmp_path / "blank.csv"
+    blank.write_text("\nid\n")
+    assert tree.headers_of(spark, [f"file:{blank}"]) == {(): [f"file:{blank}"]}
+    assert tree.headers_of(spark, []) == {}
