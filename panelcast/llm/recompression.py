@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import grouped_rows, slices
-from panelcast.session import written
+from panelcast.session import dropped, written
 
 #: Bytes of text parsed together.
 SLICE = 1 << 20
@@ -223,11 +223,13 @@ def repeats(texts: DataFrame, width: int) -> DataFrame:
     shared = written(by_key.filter("least < most").select("key", "n"), "shared")
     # phrases whose anchor several documents hold: the first document of each phrase, the phrases of each anchor
     met = written(grouped_rows(parse, shared, ["key"]), "met")
+    dropped(parse)
     by_phrase = met.groupBy("key", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     firsts = written(by_phrase, "firsts")
     several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("phrases"), F.sum("n").alias("n")).filter("phrases > 1")
     places = ("doc_id", "version", "start", "count")
     compared = written(grouped_rows(met, firsts, ["key", "phrase"]), "compared")
+    dropped(met)
     whole = compared.filter("doc_id > first").select(*places)
     open_ = compared.filter("doc_id = first").select("key", *places)
     asked = grouped_rows(open_, written(several.select("key", "n"), "several"), ["key"])
