@@ -1,7 +1,8 @@
 """Attach dimensions and fixtures to panel rows.
 
-No join here is forced: entity maps are left to the optimizer (they share the partitioning of the
-rolling windows), and team or fixture tables are broadcast only behind a counted size.
+No join here is forced, and none starts a job: the optimizer broadcasts a side whose files are known to
+be small, and where only the running query can tell, adaptive execution does, by the bytes that side
+has come to. Entity maps share the partitioning of the rolling windows.
 """
 
 from __future__ import annotations
@@ -12,17 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.features import opponent_strength
-from panelcast.session import checked_broadcast
+from panelcast.operators.counted import Counts
 
 
-def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[str], suffix: str = "_right", small: bool = False) -> DataFrame:
-    """Left join on equal column names; other columns of ``right`` that clash get ``suffix``.
-
-    ``small`` counts the right side and broadcasts it if the count allows.
-    """
+def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[str], suffix: str = "_right") -> DataFrame:
+    """Left join on equal column names; other columns of ``right`` that clash get ``suffix``."""
     clashes = {c: f"{c}{suffix}" for c in right.columns if c in df.columns and c not in on}
     right = right.withColumnsRenamed(clashes)
-    return df.join(checked_broadcast(right) if small else right, list(on), "left")
+    return df.join(right, list(on), "left")
 
 
 def attach_team(df: DataFrame, members: DataFrame, season: str = "season", entity: str = "id", member: str = "player_id") -> DataFrame:
@@ -33,7 +31,7 @@ def attach_team(df: DataFrame, members: DataFrame, season: str = "season", entit
 
 def attach_fixtures(df: DataFrame, fixtures: DataFrame, on: Sequence[str] = ("season", "gameweek", "team_code")) -> DataFrame:
     """Add the team's fixtures of the period. Two fixtures give two rows, none gives one row of nulls."""
-    return left_lookup(df, fixtures, on, suffix="_fixture", small=True)
+    return left_lookup(df, fixtures, on, suffix="_fixture")
 
 
 def attach_opponent_strength(df: DataFrame, strengths: DataFrame, season: str = "season", opponent: str = "opp_code") -> DataFrame:
@@ -44,23 +42,31 @@ def attach_opponent_strength(df: DataFrame, strengths: DataFrame, season: str =
         F.col("strength_defence_home").alias("opp_strength_defence_home"),
         F.col("strength_defence_away").alias("opp_strength_defence_away"),
     )
-    joined = left_lookup(df, lookup, [season, opponent], small=True)
+    joined = left_lookup(df, lookup, [season, opponent])
     return joined.withColumn(
         "opp_def_strength",
         opponent_strength(F.col("is_home"), F.col("opp_strength_defence_home"), F.col("opp_strength_defence_away")),
     )
 
 
-def attach_context(df: DataFrame, members: DataFrame, fixtures: DataFrame, strengths: DataFrame) -> DataFrame:
-    """Team, fixture and opponent strength in one step."""
-    with_team = attach_team(df, members)
-    return attach_opponent_strength(attach_fixtures(with_team, fixtures), strengths)
+def attach_context(df: DataFrame, members: DataFrame, fixtures: DataFrame, strengths: DataFrame, counts: Counts | None = None) -> DataFrame:
+    """Team, fixture and opponent strength in one step.
+
+    ``counts`` gets the rows without a team, and after the fixtures have fanned out those without one,
+    and those with a fixture but no strength.
+    """
+    counts = counts or Counts()
+    with_team = counts.at(attach_team(df, members), {"rows": F.lit(True), "without_team": F.col("team_code").isNull()})
+    with_fixture = counts.at(attach_fixtures(with_team, fixtures), {"fixture_rows": F.lit(True), "without_fixture": F.col("opp_code").isNull()})
+    return counts.at(attach_opponent_strength(with_fixture, strengths), {
+        "without_strength": F.col("opp_code").isNotNull() & F.col("opp_def_strength").isNull(),
+    })
 
 
 def entity_names(members: DataFrame, teams: DataFrame, season: str = "season") -> DataFrame:
     """season, player_id, player_name, team_short, position; missing names stay null."""
     shorts = teams.select(season, "team_code", "team_short")
-    named = left_lookup(members, shorts, [season, "team_code"], small=True)
+    named = left_lookup(members, shorts, [season, "team_code"])
     return named.select(
         season,
         F.col("player_id").cast("long").alias("player_id"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.casts import to_number
 from panelcast.operators.conform import drop_missing, keep_existing, percent_columns, with_absent_as_null
+from panelcast.operators.counted import Counts
 from panelcast.operators.enrich import attach_context
 from panelcast.operators.rolling import FORM_LAST3, rolling_features, with_form_inputs
 from panelcast.operators.snapshot import SNAPSHOT_COLUMNS
@@ -39,20 +40,24 @@ def model_table(
     specs: Sequence = FORM_LAST3,
     columns: Sequence[str] = MODEL_COLUMNS,
     fixtures_first: bool = False,
+    counts: Counts | None = None,
 ) -> DataFrame:
     """One row per entity, period and fixture that has a past, an opponent strength and a target.
 
     Features are rolled over one row per entity and period, then fixtures fan out, so a double fixture
     never sees its own result. ``fixtures_first`` rolls after the fan-out instead, in the order of
-    opponent and side inside a period; there the second fixture of a period does see it.
+    opponent and side inside a period; there the second fixture of a period does see it. ``counts``
+    gets what each join leaves without a partner and each requirement drops.
     """
+    counts = counts or Counts()
     panel = with_form_inputs(panel)
     if fixtures_first:
-        rows = attach_context(panel, members, fixtures, strengths)
+        rows = attach_context(panel, members, fixtures, strengths, counts)
         rows = rolling_features(rows, specs, order=("gameweek", "opp_code", "is_home"))
     else:
-        rows = attach_context(rolling_features(panel, specs), members, fixtures, strengths)
-    return drop_missing(keep_existing(rows, columns), REQUIRED_VALUES)
+        rows = attach_context(rolling_features(panel, specs), members, fixtures, strengths, counts)
+    rows = counts.at(rows, {f"lacks_{c}": F.col(c).isNull() for c in REQUIRED_VALUES})
+    return counts.at(drop_missing(keep_existing(rows, columns), REQUIRED_VALUES), {"kept": F.lit(True)})
 
 
 def engineered(df: DataFrame) -> DataFrame:

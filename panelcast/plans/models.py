@@ -7,8 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +48,8 @@ class Settings:
     boost_depth: int = 6
     boost_min_leaf: int = 20
     max_bins: int = 256
+    forest_bins: int = 64  # most of a deep tree's work is counting its small nodes' bins
+    forest_parts: int = 8  # forests of some of the trees, fitted at a time and averaged
     forest_min_leaf: int = 1  # with the default the trees, which the driver holds, grow with the rows
     seed: int = 42
 
@@ -75,14 +77,35 @@ def ridge(train: DataFrame, target: str, settings: Settings) -> LinearRegression
     )
 
 
-def forest(trees: int, target: str, settings: Settings) -> RandomForestRegressor:
+def forest(trees: int, target: str, settings: Settings, seed: int | None = None) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=target, predictionCol="predicted_points", numTrees=trees, maxDepth=settings.forest_depth,
-        maxBins=settings.max_bins, minInstancesPerNode=settings.forest_min_leaf, featureSubsetStrategy="all",
-        seed=settings.seed, cacheNodeIds=True, checkpointInterval=10,
+        maxBins=settings.forest_bins, minInstancesPerNode=settings.forest_min_leaf, featureSubsetStrategy="all",
+        seed=settings.seed if seed is None else seed, cacheNodeIds=True, checkpointInterval=10,
     )
 
 
+def forest_in_parts(train: DataFrame, trees: int, target: str, settings: Settings) -> list:
+    """Stages that forecast with ``trees`` trees, fitted as several forests with seeds of their own at the same time.
+
+    The fit of one forest is a row of short jobs on few tasks; several of them keep all cores busy. Trees
+    are independent, so the mean over all of them is a forest's forecast like any other.
+    """
+    parts = max(1, min(settings.forest_parts, trees))
+    sizes = [trees // parts + (i < trees % parts) for i in range(parts)]
+
+    @inheritable_thread_target(train.sparkSession)
+    def fitted(i: int):
+        return forest(sizes[i], target, settings, settings.seed + i).setPredictionCol(f"_forest{i}").fit(train)
+
+    with ThreadPoolExecutor(parts) as pool:
+        models = list(pool.map(fitted, range(parts)))
+    weighted = " + ".join(f"_forest{i} * {n}" for i, n in enumerate(sizes))
+    columns = ", ".join(m.getPredictionCol() for m in models)
+    mean = SQLTransformer(statement=f"SELECT * EXCEPT ({columns}), ({weighted}) / {trees} AS predicted_points FROM __THIS__")
+    return [*models, mean]
+
+
 def boosting(target: str, settings: Settings) -> GBTRegressor:
     """Boosted trees on all training rows, for every round that is set."""
     return GBTRegressor(
@@ -213,16 +236,22 @@ def residuals(table: DataFrame, best: Fitted, names: DataFrame, cutoff: int, per
 
 
 def scoring_model(train: DataFrame, features: Sequence[str] = EXTENDED_BASIC, settings: Settings = Settings(), target: str = TARGET) -> PipelineModel:
-    """A forest for scoring, behind medians of the training rows for features missing at scoring time."""
+    """A forest for scoring, behind medians of the training rows for features missing at scoring time.
+
+    The rows are assembled once and kept while the trees are fitted, in tasks of ``ROWS_PER_TASK`` rows.
+    """
     with_checkpoints(train.sparkSession)
-    numeric = as_doubles(train, features)
+    rows = aligned(as_doubles(train, features), features, target).select(target, *features).persist()
     inputs = [f"{c}_filled" for c in features]
-    stages = [
-        Imputer(strategy="median", inputCols=list(features), outputCols=inputs),
-        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"),
-        forest(settings.scoring_trees, target, settings),
-    ]
-    return Pipeline(stages=stages).fit(aligned(numeric, features, target))
+    filled = Imputer(strategy="median", inputCols=list(features), outputCols=inputs).fit(rows)
+    assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
+    vectors = assembled.transform(filled.transform(rows)).select(target, "features")
+    kept = vectors.coalesce(-(-rows.count() // ROWS_PER_TASK) or 1).persist()
+    try:
+        return PipelineModel([filled, assembled, *forest_in_parts(kept, settings.scoring_trees, target, settings)])
+    finally:
+        kept.unpersist()
+        rows.unpersist()
 
 
 def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.operators.counted import Counts
 from panelcast.operators.pairs import PAIR_TYPES
 from panelcast.operators.reconcile import reconcile
 from panelcast.plans.model_table import engineered, model_table
 from panelcast.session import SCRATCH, scratch_path
 from panelcast.sources import tree
-from panelcast.sources.sink import CSV_WRITE_OPTIONS
+from panelcast.sources.sink import CSV_WRITE_OPTIONS, write_periods
 from panelcast.workload import roles
 from panelcast.workload.registry import query
 from panelcast.workload.roles import ROLES_SQL, rounded
@@ -133,6 +134,21 @@ def layout_training_frame(spark, sf_dir):
     return rounded(counted, "points", digits=4)
 
 
+@query("layout_training_counts", ROLES_SQL + """SELECT unnest(['rows', 'without_team', 'fixture_rows', 'without_fixture', 'without_strength',
+    'lacks_pts_prev_gw', 'lacks_opp_def_strength', 'lacks_event_points', 'kept']) AS step,
+  unnest([(SELECT count(*) FROM panel), (SELECT count(*) FROM panel p WHERE NOT EXISTS (FROM members m WHERE m.season = p.season AND m.player_id = p.id)),
+    count(*), count(*) FILTER (WHERE opp_code IS NULL), count(*) FILTER (WHERE opp_code IS NOT NULL AND opp_def_strength IS NULL),
+    count(*) FILTER (WHERE pts_prev_gw IS NULL), count(*) FILTER (WHERE opp_def_strength IS NULL), count(*) FILTER (WHERE event_points IS NULL),
+    (SELECT count(*) FROM model)]) AS "rows" FROM context""")
+def layout_training_counts(spark, sf_dir):
+    """What the joins to that frame leave without a partner and its requirements drop, counted while it is written."""
+    root, counts = tree_root(spark, sf_dir), Counts()
+    teams = tree.scan_teams(spark, root)
+    rows = model_table(tree.load_panel(spark, root), tree.scan_members(spark, root), tree.load_fixtures(spark, root), teams, counts=counts)
+    write_periods(rows, scratch_path(spark, "frame"))
+    return counts.table(spark)
+
+
 @query("layout_forecast_errors", ROLES_SQL + "SELECT season, gameweek, id, predicted_points, event_points, error, abs_error FROM reconciled")
 def layout_forecast_errors(spark, sf_dir):
     """All forecast files in one plan, reconciled with what happened."""
