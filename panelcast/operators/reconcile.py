@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.text import comparison_key
 from panelcast.operators.conform import conform, require, resolve_alias
+from panelcast.operators.keys import with_known_keys
 from panelcast.operators.report import with_errors
 from panelcast.operators.snapshot import latest_season
 
@@ -29,8 +30,13 @@ def prepare_actuals(df: DataFrame, period: str = "gameweek", target: str = "even
     return latest_season(conform(df, {"season": "string", period: "int", "id": "long", target: "double"}))
 
 
-def with_comparison_keys(df: DataFrame, columns: Sequence[str] = NAME_KEYS, prefix: str = "_key_") -> DataFrame:
-    """Add the comparison key of each column, in one pass of the Arrow function over the rows."""
+def with_comparison_keys(df: DataFrame, columns: Sequence[str] = NAME_KEYS, prefix: str = "_key_", known: DataFrame | None = None) -> DataFrame:
+    """Add the comparison key of each column, in one pass of the Arrow function over the rows.
+
+    With ``known``, a dictionary of names and keys that holds all of them, keys are joined instead.
+    """
+    if known is not None:
+        return with_known_keys(df, known, columns, prefix)
     return df.withColumns({f"{prefix}{c}": comparison_key(F.col(c)) for c in columns})
 
 
@@ -63,21 +69,23 @@ class Resolution:
         return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def resolve_ids(forecasts: DataFrame, names: DataFrame, entity: str = "id") -> Resolution:
+def resolve_ids(forecasts: DataFrame, names: DataFrame, entity: str = "id", known: DataFrame | None = None) -> Resolution:
     """Attach ids to forecasts by (name, team) without regard to case and accents; null never matches."""
     keys = [f"_key_{c}" for c in NAME_KEYS]
-    forecasts = with_comparison_keys(forecasts)
-    lookup = with_comparison_keys(names).select(*keys, F.col("player_id").alias(entity)).na.drop()
+    forecasts = with_comparison_keys(forecasts, known=known)
+    lookup = with_comparison_keys(names, known=known).select(*keys, F.col("player_id").alias(entity)).na.drop()
     joined = forecasts.join(lookup, keys, "left").drop(*keys)
     several = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ids")).where(F.col("_ids") > 1)
     return Resolution(joined, forecasts.join(several, keys, "left_semi").drop(*keys), entity)
 
 
-def reconcile_direct(forecasts: DataFrame, actuals: DataFrame, period: str = "gameweek", target: str = "event_points") -> DataFrame:
+def reconcile_direct(
+    forecasts: DataFrame, actuals: DataFrame, period: str = "gameweek", target: str = "event_points", known: DataFrame | None = None
+) -> DataFrame:
     """Inner join by period and names without case and accents."""
     keys = [f"_key_{c}" for c in NAME_KEYS]
-    known = with_comparison_keys(actuals).select(period, *keys, "season", "id", target)
-    return with_comparison_keys(forecasts).join(known, [period, *keys]).drop(*keys)
+    right = with_comparison_keys(actuals, known=known).select(period, *keys, "season", "id", target)
+    return with_comparison_keys(forecasts, known=known).join(right, [period, *keys]).drop(*keys)
 
 
 def reconcile_by_id(forecasts: DataFrame, actuals: DataFrame, period: str = "gameweek", target: str = "event_points") -> DataFrame:
@@ -104,23 +112,25 @@ def reconcile(
     min_ratio: float = 0.7,
     period: str = "gameweek",
     target: str = "event_points",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Forecasts next to what happened, with errors.
 
     A period uses the direct join where it matches at least ``min_ratio`` of the forecasts, else ids
     resolved by name. Without name columns in ``actuals``, every period goes by id. All of it is one
     plan: the direct join is counted and used through the same exchanges, and no job runs before the
-    result is asked for.
+    result is asked for. ``known`` is a dictionary of the names' keys (see ``keys.extended``); without
+    it every row's names are folded.
     """
     require(forecasts, FORECAST_COLUMNS)
     if not set(NAME_KEYS) <= set(actuals.columns):
-        merged = reconcile_by_id(resolve_ids(forecasts, names).resolved, actuals, period, target)
+        merged = reconcile_by_id(resolve_ids(forecasts, names, known=known).resolved, actuals, period, target)
     else:
-        direct = reconcile_direct(forecasts, actuals, period, target)
+        direct = reconcile_direct(forecasts, actuals, period, target, known)
         routes = period_routes(forecasts, direct, min_ratio, period)
         by_name = routes.where("direct").select(period)
         by_id = routes.where("not direct").select(period)
-        rest = resolve_ids(forecasts.join(by_id, [period], "left_semi"), names).resolved
+        rest = resolve_ids(forecasts.join(by_id, [period], "left_semi"), names, known=known).resolved
         merged = direct.join(by_name, [period], "left_semi").unionByName(
             reconcile_by_id(rest, actuals, period, target)
         )

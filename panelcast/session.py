@@ -16,8 +16,9 @@ BROADCAST_ROWS = 200_000
 # Remembers the fallback folder of a local session.
 LOCAL_FOLDER = "panelcast.local.folder"
 
-# Scratch tables of this process that are still there; ``release`` removes them.
+# Scratch tables of this process that are still there, and names of some in the catalog; ``release`` removes them.
 SCRATCH: list[str] = []
+NAMED: list[str] = []
 
 
 def local_session(app: str, cpus: int = 8, memory: str = "8g") -> SparkSession:
@@ -59,9 +60,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_name(name: str) -> str:
+    """A new name for the catalog; ``release`` drops it."""
+    NAMED.append(f"{name}_{uuid.uuid4().hex}")
+    return NAMED[-1]
+
+
 def release(spark: SparkSession) -> None:
     """Remove the scratch tables and the kept tables of this session. Call it once their results have been used."""
     spark.catalog.clearCache()
+    while NAMED:
+        spark.sql(f"DROP TABLE IF EXISTS {NAMED.pop()}")
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while SCRATCH:
         path = jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())

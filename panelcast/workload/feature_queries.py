@@ -15,8 +15,9 @@ from panelcast.operators.pairs import keep_competition, team_rows
 from panelcast.operators.rolling import FORM_ALL, FORM_LAST3, HOT_ROWS, Lag, Roll, rolling_features, with_form_inputs
 from panelcast.operators.snapshot import current_form, last_period, latest_rows, next_period_rows
 from panelcast.plans.model_table import EXTENDED_BASIC, MODEL_COLUMNS, engineered, model_table, time_split
-from panelcast.session import scratch_path
+from panelcast.session import scratch_name, scratch_path
 from panelcast.sources import versions
+from panelcast.sources.bucketed import write_bucketed
 from panelcast.sources.tree import PERIOD_PATH, one_season
 from panelcast.workload import roles
 from panelcast.workload.registry import query
@@ -234,6 +235,25 @@ def rolling_carried(spark, sf_dir):
     return rounded(at.table("features").select("season", "id", "gameweek", *ALL_FORM), *ALL_FORM)
 
 
+def dealt_by_entity(spark, sf_dir):
+    """The panel and its members, stored dealt by season and entity."""
+    panel = with_form_inputs(roles.panel(spark, sf_dir)).select(*state_columns(FORM_ALL, ("season", "id"), ("gameweek",)))
+    members = roles.members(spark, sf_dir).select("season", F.col("player_id").alias("id"), "team_code")
+    return (
+        write_bucketed(panel, scratch_name("panel"), scratch_path(spark, "dealt-panel"), buckets=8),
+        write_bucketed(members, scratch_name("members"), scratch_path(spark, "dealt-members"), order=(), buckets=8),
+    )
+
+
+@query("rolling_bucketed", ROLES_SQL + f"""SELECT r.season, id, gameweek, team_code, {sql_rounded(*ALL_FORM)} FROM rolled r
+  LEFT JOIN members m ON m.season = r.season AND m.player_id = r.id""")
+def rolling_bucketed(spark, sf_dir):
+    """Teams and rolling features over tables that are dealt by season and entity: no row moves again."""
+    panel, members = dealt_by_entity(spark, sf_dir)
+    rows = left_lookup(rolling_features(panel, FORM_ALL), members, ["season", "id"])  # a join keeps no finer order than its keys
+    return rounded(rows.select("season", "id", "gameweek", "team_code", *ALL_FORM), *ALL_FORM)
+
+
 ORDER_SPECS = (
     Lag("o_totalprice", "prev"), Roll("o_totalprice", "avg", 3, "avg_last3"), Roll("o_totalprice", "avg", 5, "avg_last5"),
     Roll("urgent", "sum", 3, "urgent_last3"), Roll("urgent", "sum", 5, "urgent_last5"),

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.patch import patch_version, patch_zero_targets, season_rows
 from panelcast.operators.conform import repeated_keys
+from panelcast.operators.keys import extended, known_keys
 from panelcast.operators.rank import first_periods, sorted_distinct, top_by_group, top_overall
 from panelcast.operators.reconcile import (
+    NAME_KEYS,
     period_routes,
     prepare_actuals,
     reconcile,
@@ -236,6 +238,18 @@ def points(spark, sf_dir):
     return scatter_points(reconciled(spark, sf_dir).persist())
 
 
+@query("reconcile_known_keys", ROLES_SQL + "SELECT season, gameweek, id, player_name, team_short, position, predicted_points, event_points, error, abs_error FROM reconciled")
+def reconcile_known_keys(spark, sf_dir):
+    """The same rows through a dictionary of keys, built for the earlier periods and extended by the names of the later ones."""
+    forecasts, actuals = roles.naive_forecasts(spark, sf_dir), roles.named_actuals(spark, sf_dir)
+    names = roles.names(spark, sf_dir).where(F.col("season") == roles.CURRENT)
+    early = F.col("gameweek") <= roles.CUTOFF
+    base = versions.current(spark, scratch_path(spark, "keys"))
+    base = extended(base, [forecasts.where(early), actuals.where(early), names], NAME_KEYS)
+    base = extended(base, [forecasts.where(~early), actuals.where(~early)], NAME_KEYS)
+    return rounded(reconcile(forecasts, actuals, names, known=known_keys(base)), "error", "abs_error")
+
+
 @query("pending_periods", ROLES_SQL + """SELECT season, gameweek, id, event_points FROM panel p WHERE NOT EXISTS (
   SELECT 1 FROM panel d WHERE d.total_shots >= 4 AND d.gameweek = p.gameweek)""")
 def pending_periods(spark, sf_dir):

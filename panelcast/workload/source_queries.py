@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.conform import conform
+from panelcast.operators.report import pending
 from panelcast.session import scratch_path
 from panelcast.sources.feeds import (
     LIVE_SCHEMA,
@@ -15,7 +17,7 @@ from panelcast.sources.feeds import (
     snapshot_sizes,
     snapshot_teams,
 )
-from panelcast.sources.sink import write_periods
+from panelcast.sources.sink import done_periods, ordered_parts, read_ranks, write_ordered, write_periods
 from panelcast.sources.tree import scan_tree
 from panelcast.workload import roles
 from panelcast.workload.registry import query
@@ -47,6 +49,43 @@ def sink_periods(spark, sf_dir):
     return spark.read.schema("id long, minutes double, season string, gameweek int").parquet(path)
 
 
+@query("pending_outputs", ROLES_SQL + "SELECT season, gameweek, id, minutes FROM panel WHERE gameweek > 28 OR season = '2024-A' AND gameweek % 2 = 0")
+def pending_outputs(spark, sf_dir):
+    """The rows of periods that have no output yet, by the folders of the output itself."""
+    panel, path = roles.panel(spark, sf_dir).select("season", "gameweek", "id", "minutes"), scratch_path(spark, "panel-table")
+    write_periods(panel.where("gameweek <= 28 AND (season <> '2024-A' OR gameweek % 2 = 1)"), path)
+    return pending(panel, done_periods(spark, path), ("season", "gameweek"))
+
+
+EXPORT_SQL = ROLES_SQL + """, ranked AS (
+  SELECT row_number() OVER (ORDER BY predicted_points DESC, gameweek, player_name, team_short) AS rank, * FROM forecasts)
+"""
+EXPORT_ORDER = (F.desc, "predicted_points"), (F.asc, "gameweek"), (F.asc, "player_name"), (F.asc, "team_short")
+
+
+def exported(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    write_ordered(roles.naive_forecasts(spark, sf_dir), path, [direction(c) for direction, c in EXPORT_ORDER])
+    return path
+
+
+@query("export_ranks", EXPORT_SQL + "SELECT * FROM ranked WHERE rank BETWEEN 101 AND 150")
+def export_ranks(spark, sf_dir):
+    """Fifty ranks of an ordered export, from the files that hold them."""
+    schema = "gameweek int, player_name string, team_short string, position string, predicted_points double"
+    return read_ranks(spark, exported(spark, sf_dir), schema, 101, 150)
+
+
+@query("export_parts", EXPORT_SQL + """SELECT count(*) AS "rows", CAST(1 AS BIGINT) AS first_rank, count(*) AS last_rank, CAST(0 AS BIGINT) AS gaps FROM ranked""")
+def export_parts(spark, sf_dir):
+    """Whether the files of the export, in the order of their names, hold all ranks without a gap."""
+    parts = ordered_parts(spark, exported(spark, sf_dir))
+    before = F.lag("last_rank", 1, 0).over(Window.orderBy("part"))  # one row a file
+    gap = ((F.col("first_rank") != before + 1) | (F.col("rows") != F.col("last_rank") - F.col("first_rank") + 1)).cast("long")
+    return parts.withColumn("gap", gap).agg(
+        F.sum("rows").alias("rows"), F.min("first_rank").alias("first_rank"), F.max("last_rank").alias("last_rank"), F.sum("gap").alias("gaps"))
+
+
 def snapshot(spark, sf_dir):
     """Documents with one entity or one team each, parsed back from JSON text."""
     entity = F.struct(
