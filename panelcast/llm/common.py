@@ -55,6 +55,11 @@ def numbered(df: DataFrame, group: list[str], spread: Column, order: list[Column
     return ranked.select(*columns, (F.col("_before") + F.col("_inside")).alias(name))
 
 
+def in_few_files(df: DataFrame, share: int = 16) -> DataFrame:
+    """Rows behind a shuffle in fewer tasks, ``share`` partitions each, so that a small table is not hundreds of files."""
+    return df.coalesce(max(1, shuffle_width(df.sparkSession) // share))
+
+
 #: A group with more than one in this many of all rows counts as hot; there are fewer of them.
 HOT_SHARE = 1000
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import slices
+from panelcast.llm.common import in_few_files, slices
 from panelcast.session import written
 
 #: About as many terms as the items of a block hold together.
@@ -232,7 +232,7 @@ def ranked(docs: DataFrame, items: DataFrame, most: int = 10, block_terms: int =
     """
     spark = docs.sparkSession
     kind = dict(items.dtypes)["item_id"]
-    wanted = written(item_terms(items), "items")
+    wanted = written(in_few_files(item_terms(items)), "items")
     total = wanted.agg(F.sum(F.size("terms"))).first()[0]
     blocks = max(1, -(-(total or 0) // block_terms))
     results, facts = [], None

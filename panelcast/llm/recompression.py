@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import grouped_rows, slices
+from panelcast.llm.common import grouped_rows, in_few_files, slices
 from panelcast.session import dropped, written
 
 #: Bytes of text parsed together.
@@ -220,22 +220,22 @@ def repeats(texts: DataFrame, width: int) -> DataFrame:
     """``doc_id, version, start, count``: the windows that also start in a document with a smaller id."""
     parse = written(parsed(texts, width), "parse")
     by_key = parse.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = written(by_key.filter("least < most").select("key", "n"), "shared")
+    shared = written(in_few_files(by_key.filter("least < most").select("key", "n")), "shared")
     # phrases whose anchor several documents hold: the first document of each phrase, the phrases of each anchor
-    met = written(grouped_rows(parse, shared, ["key"]), "met")
+    met = written(in_few_files(grouped_rows(parse, shared, ["key"]), 4), "met")
     dropped(parse)
     by_phrase = met.groupBy("key", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
-    firsts = written(by_phrase, "firsts")
+    firsts = written(in_few_files(by_phrase, 4), "firsts")
     several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("phrases"), F.sum("n").alias("n")).filter("phrases > 1")
     places = ("doc_id", "version", "start", "count")
-    compared = written(grouped_rows(met, firsts, ["key", "phrase"]), "compared")
+    compared = written(in_few_files(grouped_rows(met, firsts, ["key", "phrase"]), 4), "compared")
     dropped(met)
     whole = compared.filter("doc_id > first").select(*places)
     open_ = compared.filter("doc_id = first").select("key", *places)
-    asked = grouped_rows(open_, written(several.select("key", "n"), "several"), ["key"])
-    single = written(windows(texts, asked, width), "windows")
+    asked = grouped_rows(open_, written(in_few_files(several.select("key", "n")), "several"), ["key"])
+    single = written(in_few_files(windows(texts, asked, width), 4), "windows")
     by_window = single.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    common = written(by_window.filter("first < last").select("key", "window", "n", "first"), "common")
+    common = written(in_few_files(by_window.filter("first < last").select("key", "window", "n", "first")), "common")
     later = grouped_rows(single, common, ["key", "window"]).filter("doc_id > first").select(*places)
     return whole.union(later)
 
