@@ -3,6 +3,11 @@
 A k-mer of words is kept if the smallest hash of its inner s-mers is that of the first or of the
 last one. That depends on the k-mer alone, not on its surroundings, so an edit moves or changes
 only the anchors it touches, and what two texts share gives the same anchors in the same order.
+Anchors are kept with their places, and two texts are compared by anchors at the same place: as they
+stand, and with one text moved so that the first anchor they share comes to lie on itself.
+
+Characters of scripts that are written without spaces are words of their own. Texts of few characters
+have a second set of anchors, of code points, and two such texts are compared by these.
 """
 
 from __future__ import annotations
@@ -14,8 +19,15 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import shuffle_width
 
-#: Words in a k-mer and in an inner s-mer.
+#: Words (or code points) in a k-mer and in an inner s-mer.
 K, S = 5, 2
+#: Anchors match if they are equal and lie in the same cell of this many words (or code points).
+CELL = 64
+#: Most code points of a text that is also compared by code points.
+SHORT = 400
+#: Scripts without spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+ANCHORS = "struct<hashes:array<int>,places:array<int>>"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -23,40 +35,81 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def anchors(text: Column) -> Column:
-    """The 32-bit hashes of a text's closed syncmers, in text order.
-
-    Words are what spaces, tabs and line breaks separate. A text without an anchor, such as one of
-    fewer than ``K`` words, is one anchor as a whole, so no text has none.
-    """
-    whole = F.array(F.hash(text))
-    words = F.split(F.translate(text, "\t\n\x0b\x0c\r", " " * 5), " ")
+def closed_syncmers(units: Column, whole: Column) -> Column:
+    """``hashes`` and ``places`` of the closed syncmers of an array of hashed units, in order; ``whole`` at 0 if there is none."""
+    alone = F.struct(F.array(whole).alias("hashes"), F.array(F.lit(0)).alias("places")).cast(ANCHORS)
 
     def closed(g: Column) -> Column:
-        # g[i] is the hash of the s-mer at word i; a k-mer has K - S + 1 of them
+        # g[i] is the hash of the s-mer at unit i; a k-mer has K - S + 1 of them
         inner = K - S
         starts = F.sequence(F.lit(0), F.size(g) - inner - 1)
-        edge = F.filter(starts, lambda i: F.least(g[i], g[i + inner]) <= F.least(*(g[i + j] for j in range(1, inner))))
-        kept = F.transform(edge, lambda i: F.hash(g[i], g[i + inner - 1], g[i + inner]))
-        return F.when(F.size(kept) > 0, kept).otherwise(whole)
+        places = F.filter(starts, lambda i: F.least(g[i], g[i + inner]) <= F.least(*(g[i + j] for j in range(1, inner))))
+
+        def kept(at: Column) -> Column:
+            hashes = F.transform(at, lambda i: F.hash(g[i], g[i + inner - 1], g[i + inner]))
+            return F.when(F.size(at) > 0, F.struct(hashes.alias("hashes"), at.alias("places")).cast(ANCHORS)).otherwise(alone)
+
+        return let(places, kept)
 
     def hashed(h: Column) -> Column:
         n = F.size(h)
         pairs = F.zip_with(F.slice(h, F.lit(1), n - 1), F.slice(h, F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
-        return F.when(n >= K, let(pairs, closed)).otherwise(whole)
+        return F.when(n >= K, let(pairs, closed)).otherwise(alone)
+
+    return let(F.transform(units, lambda u: F.xxhash64(u)), hashed)
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), hashed)
+
+def anchors(text: Column) -> Column:
+    """``words``, the anchors of a text by words, and ``chars``, those by code points of a text that has few; else null.
+
+    Words are what spaces, tabs and line breaks separate, and single characters of unspaced scripts. A
+    text of fewer than ``K`` units, or one without an anchor, is one anchor as a whole.
+    """
+    spaced = F.translate(text, "\t\n\x0b\x0c\r", " " * 5)
+    apart = F.split(F.btrim(F.regexp_replace(spaced, f"({UNSPACED})", " $1 ")), " +")
+    words = F.when(F.rlike(text, F.lit(UNSPACED)), apart).otherwise(F.split(spaced, " "))
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    whole = F.hash(text)
+    return F.struct(
+        closed_syncmers(words, whole).alias("words"),
+        F.when(F.char_length(text) <= SHORT, closed_syncmers(chars, whole)).alias("chars"),
+    )
 
 
 def fingerprint(found: Column) -> Column:
-    """Anchors as text: four bytes each, in text order, in base 64."""
-    return F.base64(F.unhex(F.array_join(F.transform(found, lambda a: F.right(F.lpad(F.hex(a), 16, "0"), F.lit(8))), "")))
+    """Anchors as text: four bytes for the hash and four for the place of each, in text order, in base 64."""
+    def packed(part: Column) -> Column:
+        four = lambda x: F.right(F.lpad(F.hex(x), 16, "0"), F.lit(8))
+        return F.base64(F.unhex(F.array_join(F.zip_with(part["hashes"], part["places"], lambda h, p: F.concat(four(h), four(p))), "")))
+
+    return F.concat_ws(".", packed(found["words"]), packed(found["chars"]))
+
+
+def aligned_share(a: Column, b: Column) -> Column:
+    """Twice the anchors that agree in hash and place over all anchors of both, for the better of two alignments."""
+    def placed(part: Column, moved: Column) -> Column:
+        return F.zip_with(part["hashes"], part["places"], lambda h, p: F.xxhash64(h, F.floor((p + moved) / CELL)))
+
+    def share(x: Column, y: Column) -> Column:
+        # distinct in each, as a cell counts a repeated anchor once
+        return let(F.array_distinct(x), lambda u: let(F.array_distinct(y), lambda v: 2 * F.size(F.array_intersect(u, v)) / (F.size(u) + F.size(v))))
+
+    def place_of(part: Column, anchor: Column) -> Column:
+        return F.element_at(part["places"], F.array_position(part["hashes"], anchor).cast("int"))
+
+    def shared(common: Column) -> Column:
+        zero, first = F.lit(0), common[0]
+        as_they_stand = share(placed(a, zero), placed(b, zero))
+        moved = let(place_of(a, first) - place_of(b, first), lambda d: F.when(d == 0, 0.0).otherwise(share(placed(a, zero), placed(b, d))))
+        return F.when(F.size(common) == 0, 0.0).otherwise(F.greatest(as_they_stand, moved))
+
+    return let(F.array_intersect(a["hashes"], b["hashes"]), shared)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared anchors among all anchors of two texts, 0 to 1."""
-    both = F.size(F.array_intersect(a, b)).cast("double")
-    return let(both, lambda n: n / (F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - n))
+    """How much of two texts agrees in content and place, 0 to 1; equal texts are 1, texts that share a half 0.5."""
+    both_short = a["chars"].isNotNull() & b["chars"].isNotNull()
+    return F.when(both_short, aligned_share(a["chars"], b["chars"])).otherwise(aligned_share(a["words"], b["words"]))
 
 
 def with_next(docs: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
