@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from cases import ODD, SCHEMA, SF, clashing, docs, prose, table
 from pyspark.sql import functions as F
@@ -120,3 +121,47 @@ def test_copies_do_not_hide_a_term(spark):
         at = text.index("zanzibar")
         assert f"term:{at}:{at + 8}" in spans.split(",")
     assert set(found[: len(fill)]) == {""}
+
+
+def test_texts_with_very_many_matches(spark):
+    """The work grows with the matches, not with their square."""
+    many = " ".join(f"u{i}@h{i}.org" for i in range(60_000))
+    both = " ".join(f"+49 30 {i:08d} x@1.2.3.{i % 256}" for i in range(20_000))
+    frame = docs(spark, [many, both])
+    began = time.time()
+    rows = {r.doc_id: r for r in pii.report(frame).collect()}
+    check(rows[0], many)
+    check(rows[1], both)
+    clean = {r.doc_id: r.text for r in pii.sanitised(frame).collect()}
+    assert time.time() - began < 90
+    assert clean[0] == " ".join(["[EMAIL]"] * 60_000)
+    assert clean[1] == plain_cleaned(both)
+
+
+def plain_cleaned(text):
+    out, at = [], 0
+    for start, _, end, kind in plain(text):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_cleaned_text_matches_plain_version(spark):
+    rng = random.Random(5)
+    parts = ["a@b.c", "x@1.2.3.4", "+49 30 1234567", "1.2.3.4", "4111 1111 1111 1111", "word", "é🙂", "+1.2.3.4.5.6.7.8.9.10"]
+    texts = [rng.choice(["", " "]).join(rng.choices(parts, k=rng.choice([1, 3, 40, 400]))) for _ in range(120)]
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs(spark, texts), support=10**9).collect()}  # no terms
+    assert all(clean[i] == plain_cleaned(t) for i, t in enumerate(texts))
+
+
+def test_many_entities_and_words_in_the_same_texts(spark):
+    """Two versions of a long list: hundreds of entities and thousands of words that stand nowhere else, as one pair of groups."""
+    fill = [prose(i, 60) for i in range(300)]
+    lists = [" ".join(f"u{i}@h.org word{i}x{i}" for i in range(1500)) + f" {prose(900 + k, 30)}" for k in range(2)]
+    frame = docs(spark, fill + lists)
+    entities, terms = pii.revealing_terms(frame.select("text"), pii.marked(frame))
+    assert entities.count() == 1500 and entities.select("group").distinct().count() == 1
+    assert {r.term for r in terms.collect()} >= {f"word{i}x{i}" for i in range(1500)}
+    found = {r.doc_id: r.spans for r in pii.report(frame).collect()}
+    assert found[300].count("term:") >= 1500 and not any("term" in found[i] for i in range(300))
