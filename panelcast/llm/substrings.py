@@ -10,6 +10,11 @@ alone decides phrases that occur again as a whole, most of highly repetitive tex
 the dictionary of different phrases with a common trigger: their suffixes are sorted, neighbours
 that agree in ``length`` bytes are copies, and the place of the phrase in the corpus says which of
 them come later.
+
+A trigger in a passage that very many documents share has as many different phrases, since a phrase
+reaches into the text around the passage. Such hot triggers are found by a count of the parse; their
+phrases are dealt one by one, and their windows, named by 128-bit hashes, are compared by a grouped
+minimum, so no task sees all of one trigger.
 """
 
 from __future__ import annotations
@@ -23,8 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import shuffle_width
-from panelcast.session import written
+from panelcast.llm.common import HOT_SHARE, grouped_rows, in_few_files, shuffle_width
+from panelcast.session import dropped, written
 
 #: Bytes under the rolling hash.
 GRAM = 24
@@ -33,7 +38,7 @@ PIECE = 1 << 20
 #: Most different phrases of one trigger that a task sorts; more are compared window by window.
 MOST = 100_000
 PARSE = "doc_id {0}, version long, start long, shape int, trigger long, phrase long, again boolean"
-MARKS = "doc_id {0}, version long, start long, shape int, trigger long, mixed boolean"
+MARKS = "doc_id {0}, version long, start long, shape int, trigger long, mixed boolean, hot boolean"
 RANGES = "doc_id {0}, version long, start long, windows long, window binary"
 
 
@@ -132,18 +137,34 @@ def parsed(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(grouped, PARSE.format(dict(docs.dtypes)["doc_id"]))
 
 
-def marked(parse: DataFrame) -> DataFrame:
-    """Phrases that repeat an earlier one as a whole, and those (``mixed``) that share a trigger with others."""
+def hot_triggers(parse: DataFrame, share: int = HOT_SHARE, sample: int = 64) -> DataFrame:
+    """``trigger`` of those with more than one in ``share`` of all phrases, by a count of one different phrase in ``sample``.
+
+    Which are hot decides only where rows are dealt, not what is found, so an estimate will do. There are
+    about ``share`` of them at most.
+    """
+    least = max(4, parse.count() // share // sample)
+    some = parse.filter("NOT again").filter(F.pmod("phrase", F.lit(sample)) == 0)
+    counts = some.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
+    return written(in_few_files(counts.select("trigger")), "hot")
+
+
+def marked(parse: DataFrame, hot: DataFrame) -> DataFrame:
+    """Phrases that repeat an earlier one as a whole, and those (``mixed``) that share a trigger with others.
+
+    Phrases of a hot trigger are dealt by themselves and taken for mixed.
+    """
     kind = dict(parse.dtypes)["doc_id"]
     columns = ["doc_id", "version", "start", "shape", "trigger"]
-    deal = F.when(F.col("again"), F.xxhash64("doc_id", "start")).otherwise(F.col("trigger"))
-    dealt = parse.repartition(shuffle_width(parse.sparkSession), deal).sortWithinPartitions(
+    parse = parse.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "trigger", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    deal = F.when(F.col("again"), F.xxhash64("doc_id", "start")).when(F.col("hot"), F.xxhash64("trigger", "phrase")).otherwise(F.col("trigger"))
+    dealt = parse.select(*columns, "phrase", "again", "hot").repartition(shuffle_width(parse.sparkSession), deal).sortWithinPartitions(
         "trigger", "phrase", "doc_id", "version", "start"
     )
 
     def sent_on(rows: pa.RecordBatch, mixed: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [*(rows.column(c) for c in columns), pa.array([mixed] * rows.num_rows)], names=[*columns, "mixed"]
+            [*(rows.column(c) for c in columns), pa.array([mixed] * rows.num_rows), rows.column("hot")], names=[*columns, "mixed", "hot"]
         )
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +195,7 @@ def marked(parse: DataFrame) -> DataFrame:
                 different = pa.concat_batches([tail, different])
             shared = different.column("trigger").to_numpy()
             equal = shared[1:] == shared[:-1]
-            mixed = np.r_[False, equal] | np.r_[equal, False]
+            mixed = np.r_[False, equal] | np.r_[equal, False] | different.column("hot").to_numpy(zero_copy_only=False)
             sent = mixed.copy()
             sent[0] &= not tail_sent
             tail, tail_sent = different.slice(len(mixed) - 1, 1), bool(mixed[-1] or (len(mixed) == 1 and tail_sent))
@@ -261,53 +282,70 @@ def copies(contexts: DataFrame, length: int, most: int) -> DataFrame:
     return dealt.select(*columns).mapInArrow(compare, RANGES.format(kind))
 
 
-def later(ranges: DataFrame) -> DataFrame:
-    """Of windows given with their bytes those that also start earlier; other ranges as they are."""
-    known = ranges.filter("window IS NULL").select("doc_id", "version", "start", "windows")
-    open_ = ranges.filter("window IS NOT NULL")
-    first = open_.groupBy("window").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"))
-    after = open_.join(first, "window").filter(F.struct("doc_id", "version", "start") > F.col("first"))
-    return known.union(after.select("doc_id", "version", "start", "windows"))
+def later(open_: DataFrame) -> DataFrame:
+    """Of windows ``window, doc_id, version, start, windows`` those that also start earlier, without their names."""
+    place = F.struct("doc_id", "version", "start")
+    groups = open_.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
+    met = grouped_rows(open_, written(in_few_files(groups), "common"), ["window"])
+    return met.filter(place > F.col("first")).select("doc_id", "version", "start", "windows")
 
 
-def deduplicated(docs: DataFrame, length: int = 100, most: int = MOST, with_kept: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = 100, most: int = MOST, with_kept: bool = True, share: int = HOT_SHARE) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, the ``kept`` bytes of every row.
 
     A byte goes if some ``length`` bytes that cover it also start earlier: in a document with a
     smaller ``doc_id``, or before in the same one. Null texts count as empty, shorter texts lose
     nothing. A null ``doc_id`` comes before all others; rows with one ``doc_id`` but different texts
     are ordered by a hash of the text, and identical rows are one document and lose the same bytes.
+    Triggers with more than one in ``share`` of all phrases are hot; this and ``most`` change no result.
     Columns other than ``doc_id`` and ``text`` are not read; no rows give no rows.
     """
     kind = dict(docs.dtypes)["doc_id"]
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", version(text).alias("version"), text.alias("text"))
-    marks = written(marked(parsed(texts, length)), "marks")
+    parse = written(parsed(texts, length), "parse")
+    marks = written(in_few_files(marked(parse, hot_triggers(parse, share)), 4), "marks")
+    dropped(parse)
     wanted = marks.filter("mixed").groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("trigger", "start", "shape")).alias("asked")
+        F.collect_list(F.struct("trigger", "start", "shape", "hot")).alias("asked")
     )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of the phrases asked for; of those of hot triggers each window's hash, with no shape."""
+        import xxhash
+
         for batch in batches:
             asked, all_texts = batch.column("asked"), batch.column("text")
             for i in range(batch.num_rows):
                 data = all_texts[i].as_py().encode()
                 rows = asked[i].values
                 start, shape = rows.field("start").to_numpy(), rows.field("shape").to_numpy()
-                at = pa.array(np.full(len(start), i))
-                cut = [data[a : a + n + length - 1] for a, n in zip(start.tolist(), (shape % 1024).tolist(), strict=True)]
+                hot = rows.field("hot").to_numpy(zero_copy_only=False)
+                places = np.concatenate([start[~hot], *(a + np.arange(n) for a, n in zip(start[hot], shape[hot] % 1024, strict=True))]).astype(np.int64)
+                cold = int((~hot).sum())
+                cut = [data[a : a + n + length - 1] for a, n in zip(start[~hot].tolist(), (shape[~hot] % 1024).tolist(), strict=True)]
+                cut += [xxhash.xxh128_digest(data[a : a + length]) for a in places[cold:].tolist()]
+                at = pa.array(np.full(len(places), i))
+                trigger, shapes = np.zeros(len(places), np.int64), np.zeros(len(places), np.int32)
+                trigger[:cold], shapes[:cold] = rows.field("trigger").to_numpy()[~hot], shape[~hot]
                 yield pa.RecordBatch.from_arrays([
-                    rows.field("trigger"), batch.column("doc_id").take(at), batch.column("version").take(at),
-                    rows.field("start"), rows.field("shape"), pa.array(cut, pa.binary()),
+                    pa.array(trigger), batch.column("doc_id").take(at), batch.column("version").take(at),
+                    pa.array(places), pa.array(shapes), pa.array(cut, pa.binary()),
                 ], names=["trigger", "doc_id", "version", "start", "shape", "data"])
 
     def same(left: DataFrame, right: DataFrame) -> Column:
         return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["version"] == right["version"])
 
     once = texts.join(wanted, same(texts, wanted)).select(texts["doc_id"], texts["version"], "text", "asked")
-    contexts = once.mapInArrow(fetch, f"trigger long, doc_id {kind}, version long, start long, shape int, data binary")
+    fetched = once.mapInArrow(fetch, f"trigger long, doc_id {kind}, version long, start long, shape int, data binary")
+    contexts = written(in_few_files(fetched, 4), "contexts")
     whole = marks.filter("NOT mixed").select("doc_id", "version", "start", (F.col("shape") % 1024).cast("long").alias("windows"))
-    ranges = whole.union(later(written(copies(contexts, length, most), "ranges")))
+    found = written(in_few_files(copies(contexts.filter("shape > 0"), length, most), 4), "ranges")
+    places = ("window", "doc_id", "version", "start", "windows")
+    hot_windows = contexts.filter("shape = 0").withColumn("windows", F.lit(1).cast("long")).withColumnRenamed("data", "window")
+    ranges = whole.union(found.filter("window IS NULL").select(*places[1:]))
+    for open_ in (found.filter("window IS NOT NULL"), hot_windows):
+        ranges = ranges.union(later(open_.select(*places)))
     gone = ranges.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "windows")).alias("gone"))
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from cases import ODD, SCHEMA, SF, clashing, docs, prose, table
+from pyspark.sql import functions as F
 
 from panelcast.llm import queries, substrings
 
@@ -41,8 +42,10 @@ def test_query_matches_plain_version(spark):
     assert sum(r.n_removed for r in found) > 0
 
 
-@pytest.mark.parametrize("most", [2, 100_000])
-def test_repeats_of_all_kinds(spark, most):
+@pytest.mark.parametrize(("most", "share"), [(2, 1000), (100_000, 1000), (100_000, 10**9)])
+def test_repeats_of_all_kinds(spark, monkeypatch, most, share):
+    if share > 1000:  # every trigger counts as hot
+        monkeypatch.setattr(substrings, "hot_triggers", lambda parse, share: parse.select("trigger").distinct())
     rng = random.Random(4)
     passage = prose(99, 25)
     texts = [*ODD, *ODD]
@@ -55,7 +58,7 @@ def test_repeats_of_all_kinds(spark, most):
             text = text[:50] + rng.choice("xyz") + text[51:]
         texts.append(text)
     texts += ["ab" * 400, "abc" * 100 + "ab" * 200, "é" * 120, "é" * 49 + "e" + "é" * 60, passage * 4, "x" * 99, "x" * 100, "y" * 101]
-    found = substrings.deduplicated(clashing(docs(spark, texts), "start", "version", "gone", "data"), most=most).collect()
+    found = substrings.deduplicated(clashing(docs(spark, texts), "start", "version", "gone", "data"), most=most, share=share).collect()
     check(found, list(enumerate(texts)))
 
 
@@ -76,3 +79,16 @@ def test_odd_tables(spark):
     frame = spark.createDataFrame([(1, text, None, None, 1)] * 3 + [(2, text, None, None, 1), (None, text[:120], None, None, 1), (2, "z", None, None, 1)], SCHEMA)
     rows = substrings.deduplicated(frame).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in rows) == [(0, 0), *[(1, 120)] * 3, (2, 0), (2, len(text))]
+
+
+def test_a_passage_in_very_many_documents_is_no_one_task(spark):
+    passage = prose(0, 24)[:140]
+    texts = [f"{prose(2 * i + 1, 12)} {passage} {prose(2 * i + 2, 12)}" for i in range(4000)]
+    frame = docs(spark, texts)
+    rows = frame.select("doc_id", substrings.version(F.col("text")).alias("version"), "text")
+    parse = substrings.written(substrings.parsed(rows, 100), "parse")
+    hot = substrings.hot_triggers(parse)
+    assert 0 < hot.count() < 10
+    tasks = substrings.marked(parse, hot).withColumn("task", F.spark_partition_id()).filter("mixed").groupBy("task").count().collect()
+    assert max(r["count"] for r in tasks) < 3 * sorted(r["count"] for r in tasks)[len(tasks) // 2]
+    check(substrings.deduplicated(frame).collect(), list(enumerate(texts)))
