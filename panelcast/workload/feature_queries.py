@@ -254,6 +254,14 @@ def rolling_bucketed(spark, sf_dir):
     return rounded(rows.select("season", "id", "gameweek", "team_code", *ALL_FORM), *ALL_FORM)
 
 
+@query("clashing_lookup", ROLES_SQL + """SELECT p.season, gameweek, id, minutes, m.team_code AS minutes_right, position FROM panel p
+  LEFT JOIN members m ON m.season = p.season AND m.player_id = p.id""")
+def clashing_lookup(spark, sf_dir):
+    """A lookup that has a column of the rows' own: it gets a suffix."""
+    members = roles.members(spark, sf_dir).select("season", F.col("player_id").alias("id"), F.col("team_code").alias("minutes"), "position")
+    return left_lookup(roles.panel(spark, sf_dir).select("season", "gameweek", "id", "minutes"), members, ["season", "id"])
+
+
 ORDER_SPECS = (
     Lag("o_totalprice", "prev"), Roll("o_totalprice", "avg", 3, "avg_last3"), Roll("o_totalprice", "avg", 5, "avg_last5"),
     Roll("urgent", "sum", 3, "urgent_last3"), Roll("urgent", "sum", 5, "urgent_last5"),

@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.counted import Counts
 from panelcast.operators.pairs import PAIR_TYPES
+from panelcast.operators.patch import patch_version
 from panelcast.operators.reconcile import reconcile
 from panelcast.plans.model_table import engineered, model_table
 from panelcast.session import SCRATCH, scratch_path
-from panelcast.sources import tree
+from panelcast.sources import tree, versions
+from panelcast.sources.elements import read_elements
+from panelcast.sources.feeds import LIVE_SCHEMA, live_points
 from panelcast.sources.sink import CSV_WRITE_OPTIONS, write_periods
 from panelcast.workload import roles
 from panelcast.workload.registry import query
-from panelcast.workload.roles import ROLES_SQL, rounded
+from panelcast.workload.report_queries import PATCH_SQL, zeroed_panel
+from panelcast.workload.roles import ROLES_SQL, rounded, table
 
 ROOTS: dict[tuple[str, str], str] = {}
 
@@ -41,6 +45,33 @@ def write_files(df: DataFrame, path: Column, root: str) -> None:
         files.rename(part, target)
 
 
+def write_corrections(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``actual-points/gw<n>-points.csv`` with repeated keys, some of them in two files, next to files of other names."""
+    events, day = table(spark, sf_dir, "events"), F.dayofmonth("ts")
+    points = events.select(
+        F.col("user_id").alias("player_id"), day.alias("gameweek"), F.round(F.col("value") - 5, 2).alias("event_points"),
+        F.concat(F.lit("actual-points/gw"), F.when(F.col("event_type") == "view", day % 20 + 1).otherwise(day), F.lit("-points.csv")).alias("file"),
+    )
+    write_files(points, F.col("file"), root)
+    stranger = points.where("gameweek < 4").drop("file").withColumn("event_points", F.lit(777.0))
+    write_files(stranger, F.lit("actual-points/xgw3-points.csv"), root)
+    write_files(stranger, F.lit("actual-points/gw3-points.old.csv"), root)
+
+
+def write_documents(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``snapshot`` with one JSON document of all members, an element a line, and ``live`` with a document of points a period."""
+    members = roles.members(spark, sf_dir).where(F.col("season") == roles.CURRENT)
+    least = members.agg(F.min("player_id")).first()[0]
+    element = F.to_json(F.struct(F.col("player_id").alias("id"), F.concat("web_name", F.lit(" }{\"")).alias("web_name"), F.col("team_code").alias("team")))
+    lines = members.select(F.col("player_id").alias("at"), F.concat(F.when(F.col("player_id") == least, "").otherwise(","), element).alias("line"))
+    ends = spark.createDataFrame([(None, '{"teams": [{"id": 1, "short_name": "]"}], "elements": ['), (2**62, "], \"total\": 1}")], "at long, line string")
+    lines.unionByName(ends).orderBy(F.asc_nulls_first("at")).coalesce(1).select("line").write.text(f"{root}/snapshot")
+    stats = F.struct(F.col("event_points").alias("total_points"))
+    live = roles.panel(spark, sf_dir).where(F.col("season") == roles.CURRENT).groupBy("gameweek").agg(
+        F.to_json(F.struct(F.collect_list(F.struct("id", stats.alias("stats"))).alias("elements"))).alias("doc"))
+    live.write.partitionBy("gameweek").text(f"{root}/live")
+
+
 def tree_root(spark: SparkSession, sf_dir: str) -> str:
     """The tree of a session and folder; written once and used by all queries here."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -64,6 +95,8 @@ def tree_root(spark: SparkSession, sf_dir: str) -> str:
     write_files(teams.unionByName(uncoded), F.concat("season", F.lit("/teams.csv")), root)
     forecasts = roles.naive_forecasts(spark, sf_dir)
     write_files(forecasts, F.concat(F.lit("predictions/gw"), "gameweek", F.lit("_predictions.csv")), root)
+    write_corrections(spark, sf_dir, root)
+    write_documents(spark, sf_dir, root)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     empty = jvm.org.apache.hadoop.fs.Path(f"{root}/{roles.CURRENT}/By Gameweek/GW99/{stats}")
     empty.getFileSystem(conf).create(empty).close()
@@ -157,3 +190,41 @@ def layout_forecast_errors(spark, sf_dir):
     forecasts = tree.scan_named_periods(spark, pattern, "_predictions.csv", spec).where("gameweek = file_period")
     rows = reconcile(forecasts, roles.named_actuals(spark, sf_dir), roles.names(spark, sf_dir).where(F.col("season") == roles.CURRENT))
     return rounded(rows, "error", "abs_error").select("season", "gameweek", "id", "predicted_points", "event_points", "error", "abs_error")
+
+
+@query("layout_errors_written", ROLES_SQL + "SELECT season, gameweek, id, predicted_points, event_points, error, abs_error FROM reconciled")
+def layout_errors_written(spark, sf_dir):
+    """The errors of every forecast file, written to a folder a period and read from there."""
+    path = scratch_path(spark, "errors")
+    write_periods(layout_forecast_errors(spark, sf_dir), path)
+    schema = "id long, predicted_points double, event_points double, error double, abs_error double, season string, gameweek int"
+    return spark.read.schema(schema).parquet(path)
+
+
+FILES_PATCH_SQL = PATCH_SQL.replace(
+    "'gw_' || event_type || '-points.csv'", "'gw' || CASE WHEN event_type = 'view' THEN day(ts) % 20 + 1 ELSE day(ts) END || '-points.csv'")
+
+
+@query("layout_patch", FILES_PATCH_SQL + "SELECT * FROM patched")
+def layout_patch(spark, sf_dir):
+    """Correction files by name in one plan, applied to a versioned panel; files of other names are left alone."""
+    spec = {"player_id": "long", "gameweek": "int", "event_points": "double"}
+    files = f"{tree_root(spark, sf_dir)}/actual-points/*.csv"
+    fixes = tree.scan_named_periods(spark, files, "-points.csv", spec, whole=True, skip_others=True).withColumnRenamed("player_id", "id")
+    empty = versions.current(spark, scratch_path(spark, "patched"))
+    first = versions.commit(empty, {"panel": versions.Change(zeroed_panel(spark, sf_dir))})
+    return patch_version(first, fixes).table("panel")
+
+
+@query("layout_snapshot", ROLES_SQL + """SELECT player_id, web_name || ' }{"' AS player_short_name, team_code AS team_id FROM members WHERE season = '2024-B'""")
+def layout_snapshot(spark, sf_dir):
+    """The members listed in one JSON document, read by byte ranges."""
+    rows = read_elements(spark, f"{tree_root(spark, sf_dir)}/snapshot", "elements", "id bigint, web_name string, team bigint")
+    return rows.withColumnsRenamed({"id": "player_id", "web_name": "player_short_name", "team": "team_id"})
+
+
+@query("layout_live", ROLES_SQL + "SELECT gameweek, id AS player_id, event_points FROM panel WHERE season = '2024-B'")
+def layout_live(spark, sf_dir):
+    """The points listed in one JSON document a period."""
+    documents = spark.read.schema(f"{LIVE_SCHEMA}, gameweek int").option("multiLine", True).json(f"{tree_root(spark, sf_dir)}/live")
+    return live_points(documents, "gameweek")
