@@ -55,9 +55,13 @@ def numbered(df: DataFrame, group: list[str], spread: Column, order: list[Column
     return ranked.select(*columns, (F.col("_before") + F.col("_inside")).alias(name))
 
 
-def in_few_files(df: DataFrame, share: int = 16) -> DataFrame:
-    """Rows behind a shuffle in fewer tasks, ``share`` partitions each, so that a small table is not hundreds of files."""
-    return df.coalesce(max(1, shuffle_width(df.sparkSession) // share))
+def in_few_files(df: DataFrame, rows: int, each: int = 500_000) -> DataFrame:
+    """``df``, which has no more than about ``rows`` rows, in one task for every ``each`` of them, or fewer.
+
+    Where few rows come out of many shuffle partitions, a written table is not hundreds of small files;
+    the number of tasks still grows with the rows.
+    """
+    return df.coalesce(max(1, -(-rows // each)))
 
 
 #: A group with more than one in this many of all rows counts as hot; there are fewer of them.

@@ -232,7 +232,7 @@ def ranked(docs: DataFrame, items: DataFrame, most: int = 10, block_terms: int =
     """
     spark = docs.sparkSession
     kind = dict(items.dtypes)["item_id"]
-    wanted = written(in_few_files(item_terms(items)), "items")
+    wanted = written(in_few_files(item_terms(items), items.count(), 10_000), "items")
     total = wanted.agg(F.sum(F.size("terms"))).first()[0]
     blocks = max(1, -(-(total or 0) // block_terms))
     results, facts = [], None

@@ -219,23 +219,25 @@ def windows(texts: DataFrame, asked: DataFrame, width: int) -> DataFrame:
 def repeats(texts: DataFrame, width: int) -> DataFrame:
     """``doc_id, version, start, count``: the windows that also start in a document with a smaller id."""
     parse = written(parsed(texts, width), "parse")
+    count = parse.count()
     by_key = parse.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = written(in_few_files(by_key.filter("least < most").select("key", "n")), "shared")
+    shared = written(in_few_files(by_key.filter("least < most").select("key", "n"), count), "shared")
     # phrases whose anchor several documents hold: the first document of each phrase, the phrases of each anchor
-    met = written(in_few_files(grouped_rows(parse, shared, ["key"]), 4), "met")
+    met = written(in_few_files(grouped_rows(parse, shared, ["key"]), count), "met")
     dropped(parse)
+    count = met.count()
     by_phrase = met.groupBy("key", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
-    firsts = written(in_few_files(by_phrase, 4), "firsts")
+    firsts = written(in_few_files(by_phrase, count), "firsts")
     several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("phrases"), F.sum("n").alias("n")).filter("phrases > 1")
     places = ("doc_id", "version", "start", "count")
-    compared = written(in_few_files(grouped_rows(met, firsts, ["key", "phrase"]), 4), "compared")
+    compared = written(in_few_files(grouped_rows(met, firsts, ["key", "phrase"]), count), "compared")
     dropped(met)
     whole = compared.filter("doc_id > first").select(*places)
     open_ = compared.filter("doc_id = first").select("key", *places)
-    asked = grouped_rows(open_, written(in_few_files(several.select("key", "n")), "several"), ["key"])
-    single = written(in_few_files(windows(texts, asked, width), 4), "windows")
+    asked = grouped_rows(open_, written(in_few_files(several.select("key", "n"), count), "several"), ["key"])
+    single = written(in_few_files(windows(texts, asked, width), count, 50_000), "windows")
     by_window = single.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    common = written(in_few_files(by_window.filter("first < last").select("key", "window", "n", "first")), "common")
+    common = written(in_few_files(by_window.filter("first < last").select("key", "window", "n", "first"), single.count()), "common")
     later = grouped_rows(single, common, ["key", "window"]).filter("doc_id > first").select(*places)
     return whole.union(later)
 

@@ -143,10 +143,11 @@ def hot_triggers(parse: DataFrame, share: int = HOT_SHARE, sample: int = 64) ->
     Which are hot decides only where rows are dealt, not what is found, so an estimate will do. There are
     about ``share`` of them at most.
     """
-    least = max(4, parse.count() // share // sample)
+    rows = parse.count()
+    least = max(4, rows // share // sample)
     some = parse.filter("NOT again").filter(F.pmod("phrase", F.lit(sample)) == 0)
     counts = some.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
-    return written(in_few_files(counts.select("trigger")), "hot")
+    return written(in_few_files(counts.select("trigger"), rows // sample), "hot")
 
 
 def marked(parse: DataFrame, hot: DataFrame) -> DataFrame:
@@ -286,7 +287,7 @@ def later(open_: DataFrame) -> DataFrame:
     """Of windows ``window, doc_id, version, start, windows`` those that also start earlier, without their names."""
     place = F.struct("doc_id", "version", "start")
     groups = open_.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
-    met = grouped_rows(open_, written(in_few_files(groups), "common"), ["window"])
+    met = grouped_rows(open_, written(in_few_files(groups, open_.count()), "common"), ["window"])
     return met.filter(place > F.col("first")).select("doc_id", "version", "start", "windows")
 
 
@@ -304,7 +305,7 @@ def deduplicated(docs: DataFrame, length: int = 100, most: int = MOST, with_kept
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", version(text).alias("version"), text.alias("text"))
     parse = written(parsed(texts, length), "parse")
-    marks = written(in_few_files(marked(parse, hot_triggers(parse, share)), 4), "marks")
+    marks = written(in_few_files(marked(parse, hot_triggers(parse, share)), parse.count()), "marks")
     dropped(parse)
     wanted = marks.filter("mixed").groupBy("doc_id", "version").agg(
         F.collect_list(F.struct("trigger", "start", "shape", "hot")).alias("asked")
@@ -338,9 +339,9 @@ def deduplicated(docs: DataFrame, length: int = 100, most: int = MOST, with_kept
 
     once = texts.join(wanted, same(texts, wanted)).select(texts["doc_id"], texts["version"], "text", "asked")
     fetched = once.mapInArrow(fetch, f"trigger long, doc_id {kind}, version long, start long, shape int, data binary")
-    contexts = written(in_few_files(fetched, 4), "contexts")
+    contexts = written(in_few_files(fetched, marks.filter("mixed").count(), 50_000), "contexts")
     whole = marks.filter("NOT mixed").select("doc_id", "version", "start", (F.col("shape") % 1024).cast("long").alias("windows"))
-    found = written(in_few_files(copies(contexts.filter("shape > 0"), length, most), 4), "ranges")
+    found = written(in_few_files(copies(contexts.filter("shape > 0"), length, most), contexts.count(), 50_000), "ranges")
     places = ("window", "doc_id", "version", "start", "windows")
     hot_windows = contexts.filter("shape = 0").withColumn("windows", F.lit(1).cast("long")).withColumnRenamed("data", "window")
     ranges = whole.union(found.filter("window IS NULL").select(*places[1:]))
