@@ -191,7 +191,7 @@ def fixtures_per_team_period(spark, sf_dir):
     rows = attach_team(roles.panel(spark, sf_dir), roles.members(spark, sf_dir))
     teams = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("entities"))
     counts = roles.fixtures(spark, sf_dir).groupBy(*keys).agg(F.count(F.lit(1)).alias("fixtures"))
-    joined = left_lookup(teams, counts, keys, small=True)
+    joined = left_lookup(teams, counts, keys)
     return joined.withColumn("fixtures", F.coalesce("fixtures", F.lit(0)))
 
 
