@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import slices
+from panelcast.llm.common import released, slices
 from panelcast.session import checked_broadcast, written
 
 UNKNOWN = "und"
@@ -68,6 +68,7 @@ def sample_windows(docs: DataFrame, per_lang: int = 400, per_doc: int = 6) -> Da
         .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= per_lang).select("doc_id").distinct(), "sample"
     )
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             windows = []
@@ -261,6 +262,7 @@ def keep_known(docs: DataFrame, model: Model | None, gate: Gate | None) -> DataF
     Without a model nothing can be told of texts but that they have a letter.
     """
 
+    @released
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << 24, bool)
         if gate:
@@ -297,6 +299,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     columns are never read.
     """
 
+    @released
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, langs, scores in predicted_batches(batches, model):
             yield pa.RecordBatch.from_arrays(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import in_few_files, slices
+from panelcast.llm.common import in_few_files, released, slices
 from panelcast.session import written
 
 #: About as many terms as the items of a block hold together.
@@ -131,6 +131,7 @@ def index(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     """``doc_id, n, terms, counts``: a row's number of terms, and those in the vocabulary, by number."""
     number = {t.encode(): i for i, t in enumerate(vocabulary)}
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, SLICE):
@@ -175,6 +176,7 @@ def searched(found: DataFrame, plan: Plan, weights: Sequence[int], documents: in
     weight = np.array(weights, np.int64)
     batch_rows = max(64, min(8192, ACCUMULATORS // (8 * (len(plan.nodes) + 2))))
 
+    @released
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, kind = Best(len(plan.tops), most), None
         for whole in batches:
@@ -205,6 +207,7 @@ def searched(found: DataFrame, plan: Plan, weights: Sequence[int], documents: in
 def item_terms(items: DataFrame) -> DataFrame:
     """``item_id, key, terms``: the different terms of each different item, and a hash that names it."""
 
+    @released
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sorted({t.decode() for t in terms(x)}) for x in batch.column("text").to_pylist()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import numbered, slices
+from panelcast.llm.common import numbered, released, slices
 from panelcast.session import written
 
 #: Words in each of the two generations a worker remembers, some 60 MB together.
@@ -148,6 +148,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     """
     end = np.array([end_id], "<u4").tobytes()
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for whole in batches:
@@ -257,6 +258,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     order = [F.col("doc_id"), F.col("row"), F.col("piece")]
     ranked = numbered(cut, ["length"], F.struct("doc_id", "row", "piece"), order, "rank")
 
+    @released
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()

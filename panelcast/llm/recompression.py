@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import grouped_rows, in_few_files, slices
+from panelcast.llm.common import grouped_rows, in_few_files, released, slices
 from panelcast.session import dropped, written
 
 #: Bytes of text parsed together.
@@ -173,6 +173,7 @@ class Words:
 def parsed(texts: DataFrame, width: int) -> DataFrame:
     """``key, phrase, doc_id, version, start, count`` of every phrase."""
 
+    @released
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, SLICE):
@@ -192,6 +193,7 @@ def windows(texts: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     """``key, window, doc_id, version, start, count``: each window of the phrases asked for, named by its words."""
     wanted = asked.groupBy("doc_id", "version").agg(F.collect_list(F.struct("key", "start", "count")).alias("asked"))
 
+    @released
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, SLICE):
@@ -260,6 +262,7 @@ def deduplicated(docs: DataFrame, width: int = 13, with_kept: bool = True) -> Da
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept"] * with_kept]
     types = [pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * with_kept]
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, SLICE):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import slices
+from panelcast.llm.common import released, slices
 
 #: Every difference modulo 13 is one between two of these residues.
 COVER, MODULUS = (0, 1, 3, 9), 13
@@ -247,6 +247,7 @@ def periodic_runs(docs: DataFrame, hashed: Column | None = None, least: int = 24
     run = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
     types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.list_(run), pa.binary()]
 
+    @released
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, SLICE):

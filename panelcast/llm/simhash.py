@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import components, shuffle_width, slices
+from panelcast.llm.common import components, released, shuffle_width, slices
 from panelcast.session import written
 
 SEED = 42
@@ -53,6 +53,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``doc_id, row, fp`` of every row: a hash of the text, and the 64 bits as a signed long."""
 
+    @released
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1 << 20):
@@ -123,6 +124,7 @@ def compared(rows: DataFrame, bits: int, most: int) -> DataFrame:
     spark = rows.sparkSession
     dealt = rows.repartition(shuffle_width(spark), "mask", "key").sortWithinPartitions("mask", "key", "fp")
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         now, size = None, 0

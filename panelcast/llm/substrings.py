@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import HOT_SHARE, grouped_rows, in_few_files, shuffle_width
+from panelcast.llm.common import HOT_SHARE, grouped_rows, in_few_files, released, shuffle_width
 from panelcast.session import dropped, written
 
 #: Bytes under the rolling hash.
@@ -123,6 +123,7 @@ def parsed(docs: DataFrame, length: int) -> DataFrame:
         again[order[1:]] = equal & ~identical
         yield from rows.append_column("again", pa.array(again)).to_batches()
 
+    @released
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in parse(batches):
@@ -168,6 +169,7 @@ def marked(parse: DataFrame, hot: DataFrame) -> DataFrame:
             [*(rows.column(c) for c in columns), pa.array([mixed] * rows.num_rows), rows.column("hot")], names=[*columns, "mixed", "hot"]
         )
 
+    @released
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         previous = None  # the last row
         tail, tail_sent = None, False  # the last different phrase; one more with its trigger makes it mixed
@@ -238,6 +240,7 @@ def copies(contexts: DataFrame, length: int, most: int) -> DataFrame:
         "trigger", "doc_id", "version", "start"
     )
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, last, held, large = None, None, [], False
         out: list[tuple] = []
@@ -311,6 +314,7 @@ def deduplicated(docs: DataFrame, length: int = 100, most: int = MOST, with_kept
         F.collect_list(F.struct("trigger", "start", "shape", "hot")).alias("asked")
     )
 
+    @released
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the phrases asked for; of those of hot triggers each window's hash, with no shape."""
         import xxhash
@@ -352,6 +356,7 @@ def deduplicated(docs: DataFrame, length: int = 100, most: int = MOST, with_kept
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * with_kept]
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
