@@ -79,7 +79,20 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-@query("op10_embedding_near_dedup")
+VECTORS_SQL = """WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT vec_id, e, len(e) AS size, sqrt(list_inner_product(e, e)) AS norm FROM good),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.size = b.size AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM reach r LEFT JOIN counts c ON c.a = r.a GROUP BY r.a"""
+
+
+@query("op10_embedding_near_dedup", VECTORS_SQL)
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
