@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import numbered, released, slices
 from panelcast.session import written
 
-#: Words in each of the two generations a worker remembers, some 60 MB together.
-WORDS_KEPT = 150_000
+#: Words in each of the two generations a worker remembers, at most some 200 MB together.
+WORDS_KEPT = 500_000
 #: Bytes of text tokenised at a time; a longer text is cut at white space.
 STRETCH = 1 << 17
 #: ASCII punctuation but the apostrophe begins a token of its own after a letter or digit.
