@@ -45,7 +45,7 @@ class Encoder:
     out of the text as it stands beforehand and give their own ids, as the tokenizer does it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         # threads of its own would each keep memory, and a task has one core
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -62,6 +62,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         # words met lately and those before them: a word met again moves up, the others are forgotten
+        self.words_kept = words_kept
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -102,7 +103,7 @@ class Encoder:
 
     def short(self, texts: list[str]) -> list[bytes]:
         split = [MARK.sub(rb" \g<0>", text.encode().lower()).split() for text in texts]
-        if len(self.words) > WORDS_KEPT:
+        if len(self.words) > self.words_kept:
             self.older, self.words = self.words, {}
         known, before = self.words.get, self.older.get
         found = [list(map(known, words)) for words in split]
@@ -130,17 +131,18 @@ def cut_at_spaces(text: str) -> Iterator[str]:
         start = end
 
 
-ENCODERS: dict[str, Encoder] = {}
+ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process."""
-    if path not in ENCODERS:
-        ENCODERS[path] = Encoder(path)
-    return ENCODERS[path]
+def encoder(path: str, words_kept: int = WORDS_KEPT) -> Encoder:
+    """The one encoder of a worker process."""
+    if (path, words_kept) not in ENCODERS:
+        ENCODERS.clear()
+        ENCODERS[path, words_kept] = Encoder(path, words_kept)
+    return ENCODERS[path, words_kept]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, words_kept: int = WORDS_KEPT) -> DataFrame:
     """Cut every document's ids, ended by ``end_id``, into pieces of ``capacity``; the last may be shorter.
 
     ``doc_id, piece, start, length, ids_crc32`` and ``row``, a hash of the text. A null or empty
@@ -150,7 +152,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
 
     @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, words_kept)
         for whole in batches:
             for batch in slices(whole, STRETCH):
                 rows = [
@@ -244,14 +246,15 @@ def matched(counts: dict[int, int], capacity: int) -> list[Run]:
     return runs
 
 
-def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, words_kept: int = WORDS_KEPT) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece.
 
     A null text counts as empty, rows that share a ``doc_id`` are packed each for itself, an empty
     table gives no rows, and other columns are not read. Which of several pieces of one length goes
-    where is decided by ``doc_id``, text and piece number.
+    where is decided by ``doc_id``, text and piece number. ``words_kept`` trades memory of the workers
+    for time and changes no result.
     """
-    cut = written(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    cut = written(pieces(docs, tokenizer, capacity, end_id, words_kept), "pieces")
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = sorted(matched(counts, capacity), key=lambda r: (r.length, r.rank))
     plan = np.array([(r.length << 40 | r.rank, r.rank, r.first, r.width, r.offset) for r in runs], np.int64).reshape(-1, 5)
