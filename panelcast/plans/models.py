@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Imputer, ImputerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from panelcast.operators.enrich import attach_names
 from panelcast.operators.rank import top_by_group, top_overall
 from panelcast.operators.report import with_errors, worst_first
 from panelcast.operators.snapshot import next_period_rows
+from panelcast.plans.forests import DeepForest, deep_forest
 from panelcast.plans.model_table import (
     EXTENDED_BASIC,
     FEATURE_SETS,
@@ -49,8 +50,7 @@ class Settings:
     boost_min_leaf: int = 20
     max_bins: int = 256
     forest_bins: int = 64  # most of a deep tree's work is counting its small nodes' bins
-    forest_parts: int = 8  # forests of some of the trees, fitted at a time and averaged
-    forest_min_leaf: int = 1  # with the default the trees, which the driver holds, grow with the rows
+    forest_min_leaf: int = 1  # with the default trees grow with the rows
     seed: int = 42
 
 
@@ -85,27 +85,6 @@ def forest(trees: int, target: str, settings: Settings, seed: int | None = None)
     )
 
 
-def forest_in_parts(train: DataFrame, trees: int, target: str, settings: Settings) -> list:
-    """Stages that forecast with ``trees`` trees, fitted as several forests with seeds of their own at the same time.
-
-    The fit of one forest is a row of short jobs on few tasks; several of them keep all cores busy. Trees
-    are independent, so the mean over all of them is a forest's forecast like any other.
-    """
-    parts = max(1, min(settings.forest_parts, trees))
-    sizes = [trees // parts + (i < trees % parts) for i in range(parts)]
-
-    @inheritable_thread_target(train.sparkSession)
-    def fitted(i: int):
-        return forest(sizes[i], target, settings, settings.seed + i).setPredictionCol(f"_forest{i}").fit(train)
-
-    with ThreadPoolExecutor(parts) as pool:
-        models = list(pool.map(fitted, range(parts)))
-    weighted = " + ".join(f"_forest{i} * {n}" for i, n in enumerate(sizes))
-    columns = ", ".join(m.getPredictionCol() for m in models)
-    mean = SQLTransformer(statement=f"SELECT * EXCEPT ({columns}), ({weighted}) / {trees} AS predicted_points FROM __THIS__")
-    return [*models, mean]
-
-
 def boosting(target: str, settings: Settings) -> GBTRegressor:
     """Boosted trees on all training rows, for every round that is set."""
     return GBTRegressor(
@@ -235,23 +214,32 @@ def residuals(table: DataFrame, best: Fitted, names: DataFrame, cutoff: int, per
     return worst_first(named.select(*RESIDUAL_COLUMNS), ["season", "gameweek", "id"])
 
 
-def scoring_model(train: DataFrame, features: Sequence[str] = EXTENDED_BASIC, settings: Settings = Settings(), target: str = TARGET) -> PipelineModel:
-    """A forest for scoring, behind medians of the training rows for features missing at scoring time.
+@dataclass(frozen=True)
+class ScoringModel:
+    """Medians for missing features and a forest behind them; ``transform`` grows the trees."""
 
-    The rows are assembled once and kept while the trees are fitted, in tasks of ``ROWS_PER_TASK`` rows.
-    """
-    with_checkpoints(train.sparkSession)
+    filled: ImputerModel
+    forest: DeepForest
+    kept: tuple[DataFrame, ...]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.forest.transform(self.filled.transform(df)).drop(*self.forest.features)
+
+    def unpersist(self) -> None:
+        for rows in self.kept:
+            rows.unpersist()
+
+
+def scoring_model(train: DataFrame, features: Sequence[str] = EXTENDED_BASIC, settings: Settings = Settings(), target: str = TARGET) -> ScoringModel:
+    """A forest for scoring, behind medians of the training rows for features missing at scoring time."""
     rows = aligned(as_doubles(train, features), features, target).select(target, *features).persist()
-    inputs = [f"{c}_filled" for c in features]
-    filled = Imputer(strategy="median", inputCols=list(features), outputCols=inputs).fit(rows)
-    assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
-    vectors = assembled.transform(filled.transform(rows)).select(target, "features")
-    kept = vectors.coalesce(-(-rows.count() // ROWS_PER_TASK) or 1).persist()
-    try:
-        return PipelineModel([filled, assembled, *forest_in_parts(kept, settings.scoring_trees, target, settings)])
-    finally:
-        kept.unpersist()
-        rows.unpersist()
+    filled = Imputer(strategy="median", inputCols=list(features), outputCols=[f"{c}_filled" for c in features]).fit(rows)
+    inputs = rows.select(target, *(F.col(c).alias(f"{c}_filled") for c in features))
+    trees = deep_forest(
+        inputs, [f"{c}_filled" for c in features], target, settings.scoring_trees, settings.forest_depth, settings.forest_bins,
+        settings.forest_min_leaf, settings.seed,
+    )
+    return ScoringModel(filled, trees, (rows, trees.kept))
 
 
 def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -308,11 +296,11 @@ def forecast_next_period(
         table.unpersist()
         return None
     model = scoring_model(train, features, settings)
-    table.unpersist()
     scored = model.transform(as_doubles(upcoming, features))
-    named = attach_names(scored, names)
-    return Forecast(
-        named.select(
-            "season", "gameweek", "id", "opp_code", "player_name", "team_short", "position", "predicted_points"
-        ).orderBy(F.desc_nulls_last("predicted_points"), "id", "opp_code")
-    )
+    named = attach_names(scored, names).select(
+        "season", "gameweek", "id", "opp_code", "player_name", "team_short", "position", "predicted_points"
+    ).persist()
+    named.count()  # the trees grow once, not with every leaderboard
+    model.unpersist()
+    table.unpersist()
+    return Forecast(named.orderBy(F.desc_nulls_last("predicted_points"), "id", "opp_code"))
