@@ -21,12 +21,10 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that are null, have no letter, or fit no learned language go.
 
-    What fits is calibrated on the labelled rows the model learned from. Without any, all texts with
-    a letter stay.
+    The model learns from all labelled rows that are not held out, and what fits is calibrated on all of
+    them. Without any, all texts with a letter stay.
     """
-    rows = language.sampled(docs)
-    model = language.train_on(rows)
-    return language.keep_known(docs, model, language.calibrated(rows, model) if model else None)
+    return language.keep_learned(docs, language.train_on_all(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

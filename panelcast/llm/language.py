@@ -1,8 +1,9 @@
 """Language identification by a byte convolutional network.
 
 Filters of several widths slide over the UTF-8 bytes of a fixed-length window, each filter keeps
-its largest response, and a softmax layer names the language. The network is trained in NumPy on a
-bounded sample of labelled texts and applied to every window of every text in Spark tasks.
+its largest response, and a softmax layer names the language. The network is trained in NumPy, on a
+bounded sample of labelled texts or in Spark tasks on all of them, and applied to every window of every
+text in Spark tasks.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from panelcast.llm.common import released, slices
 from panelcast.session import checked_broadcast, written
@@ -113,52 +116,153 @@ def fit(data: list[tuple[bytes, int]], langs: tuple[str, ...], filters: int, epo
         x[i, : len(keep)] = np.frombuffer(keep, np.uint8)
     y = np.array([label for _, label in data])
     weight = len(y) / (len(langs) * np.bincount(y, minlength=len(langs)).clip(1))  # every language counts alike
-    params = [random.normal(0, 0.1, (w, 256, filters)).astype(np.float32) for w in WIDTHS]
-    params += [np.zeros(len(WIDTHS) * filters, np.float32),
-               random.normal(0, 0.1, (len(WIDTHS) * filters, len(langs))).astype(np.float32),
-               np.zeros(len(langs), np.float32)]
-    first = [np.zeros_like(p) for p in params]
-    second = [np.zeros_like(p) for p in params]
-    step, size, n = 0, 64, len(WIDTHS)
+    learner = Learner(initial(random, len(langs), filters))
+    size = 64
     for epoch in range(epochs):
         rate = 0.01 * (1 - epoch / epochs)
         order = random.permutation(len(y))
         for start in range(0, len(order), size):
             at = order[start : start + size]
-            batch, target = x[at], y[at]
-            tops, where = [], []
-            for table in params[:n]:
-                reach = WINDOW - len(table) + 1
-                response = sum(table[j][batch[:, j : j + reach]] for j in range(len(table)))
-                place = response.argmax(axis=1)
-                where.append(place)
-                tops.append(np.take_along_axis(response, place[:, None], 1)[:, 0])
-            hidden = np.concatenate(tops, 1) + params[n]
-            active = np.maximum(hidden, 0)
-            scores = active @ params[n + 1] + params[n + 2]
-            probability = np.exp(scores - scores.max(1, keepdims=True))
-            probability /= probability.sum(1, keepdims=True)
-            slope = probability.copy()
-            slope[np.arange(len(at)), target] -= 1
-            slope *= (weight[target] / len(at))[:, None]
-            back = (slope @ params[n + 1].T) * (hidden > 0)
-            grads = []
-            for k, table in enumerate(params[:n]):
-                grad = np.zeros_like(table)
-                part = back[:, k * filters : (k + 1) * filters]
-                for j in range(len(table)):
-                    seen = np.take_along_axis(batch, where[k] + j, 1)
-                    np.add.at(grad[j], (seen, np.arange(filters)), part)
-                grads.append(grad)
-            grads += [back.sum(0), active.T @ slope, slope.sum(0)]
-            step += 1
-            for p, g, m, v in zip(params, grads, first, second, strict=True):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= (rate / (1 - 0.9**step)) * m / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            learner.step(x[at], y[at], weight[y[at]], rate)
+    return as_model(langs, learner.params)
+
+
+def initial(random: np.random.Generator, langs: int, filters: int) -> list[np.ndarray]:
+    params = [random.normal(0, 0.1, (w, 256, filters)).astype(np.float32) for w in WIDTHS]
+    return params + [np.zeros(len(WIDTHS) * filters, np.float32),
+                     random.normal(0, 0.1, (len(WIDTHS) * filters, langs)).astype(np.float32),
+                     np.zeros(langs, np.float32)]
+
+
+def as_model(langs: tuple[str, ...], params: list[np.ndarray]) -> Model:
+    n = len(WIDTHS)
     return Model(langs, tuple(params[:n]), params[n], params[n + 1], params[n + 2])
 
 
+class Learner:
+    """Parameters and the moments of Adam, one batch of windows at a time."""
+
+    def __init__(self, params: list[np.ndarray]):
+        self.params = params
+        self.first = [np.zeros_like(p) for p in params]
+        self.second = [np.zeros_like(p) for p in params]
+        self.steps = 0
+
+    def step(self, batch: np.ndarray, target: np.ndarray, weight: np.ndarray, rate: float) -> None:
+        params, n, filters = self.params, len(WIDTHS), self.params[0].shape[2]
+        tops, where = [], []
+        for table in params[:n]:
+            reach = WINDOW - len(table) + 1
+            response = sum(table[j][batch[:, j : j + reach]] for j in range(len(table)))
+            place = response.argmax(axis=1)
+            where.append(place)
+            tops.append(np.take_along_axis(response, place[:, None], 1)[:, 0])
+        hidden = np.concatenate(tops, 1) + params[n]
+        active = np.maximum(hidden, 0)
+        scores = active @ params[n + 1] + params[n + 2]
+        probability = np.exp(scores - scores.max(1, keepdims=True))
+        probability /= probability.sum(1, keepdims=True)
+        slope = probability.copy()
+        slope[np.arange(len(batch)), target] -= 1
+        slope *= (weight / len(batch))[:, None]
+        back = (slope @ params[n + 1].T) * (hidden > 0)
+        grads = []
+        for k, table in enumerate(params[:n]):
+            grad = np.zeros_like(table)
+            part = back[:, k * filters : (k + 1) * filters]
+            for j in range(len(table)):
+                seen = np.take_along_axis(batch, where[k] + j, 1)
+                np.add.at(grad[j], (seen, np.arange(filters)), part)
+            grads.append(grad)
+        grads += [back.sum(0), active.T @ slope, slope.sum(0)]
+        self.steps += 1
+        for p, g, m, v in zip(params, grads, self.first, self.second, strict=True):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= (rate / (1 - 0.9**self.steps)) * m / (np.sqrt(v / (1 - 0.999**self.steps)) + 1e-8)
+
+
+#: Of this many windows a pass over all rows is cut into rounds, each of which learns from other rows.
+MANY_WINDOWS = 60_000
+#: How many numbers of the parameters are averaged in one group.
+CHUNK = 2048
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """All rows that may be learned from."""
+    return docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+
+
+def all_windows(data: bytes) -> np.ndarray:
+    """windows x ``WINDOW`` bytes, the last one filled up with zeros; every byte is in one at least."""
+    count = max(1, -(-(len(data) - WINDOW) // STEP) + 1)
+    padded = np.frombuffer(data.ljust(STEP * (count - 1) + WINDOW, b"\0"), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STEP]
+
+
+def train_on_all(docs: DataFrame, filters: int = 16, seed: int = 7) -> Model | None:
+    """Fit the network on every window of every labelled text that is not held out; None without any.
+
+    Tasks learn from their rows side by side, starting from the same parameters, and the mean of what
+    they reach, by windows, starts the next round. A pass over many windows takes three rounds of other
+    rows; few windows are learned several times.
+    """
+    rows = labelled(docs)
+    count = F.greatest(F.lit(1), F.ceil((F.octet_length("text") - WINDOW) / STEP) + 1)
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(count).alias("n")).collect()}
+    langs, total = tuple(sorted(sizes)), sum(sizes.values())
+    if not langs:
+        return None
+    weights = np.array([total / (len(langs) * sizes[name]) for name in langs])  # every language counts alike
+    params = initial(np.random.default_rng(seed), len(langs), filters)
+    many = total >= MANY_WINDOWS
+    rounds = 3 if many else min(6, max(2, -(-12_000 // total)))
+    for turn in range(rounds):
+        part = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == turn) if many else rows
+        params = learned_side_by_side(part, params, langs, weights, 0.01 * (1 - turn / rounds), (seed, turn))
+    return as_model(langs, params)
+
+
+def learned_side_by_side(rows: DataFrame, params: list[np.ndarray], langs: tuple[str, ...], weights: np.ndarray, rate: float, seed: tuple) -> list[np.ndarray]:
+    """The parameters after a round: the mean over tasks, weighted by their windows."""
+
+    @released
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        random, learner, n = np.random.default_rng([*seed, task]), Learner([p.copy() for p in params]), 0
+        for whole in batches:
+            for batch in slices(whole, 1 << 20):
+                cut = [all_windows(t.encode()) for t in batch.column("text").to_pylist()]
+                x = np.concatenate(cut)
+                y = np.repeat([langs.index(name) for name in batch.column("lang").to_pylist()], [len(c) for c in cut])
+                keep = np.where(random.random(len(x)) < 0.6, WINDOW, random.integers(6, 100, len(x)))  # short texts are learned too
+                x[np.arange(WINDOW) >= keep[:, None]] = 0
+                order = random.permutation(len(y))
+                for at in (order[k : k + 64] for k in range(0, len(order), 64)):
+                    learner.step(x[at], y[at], weights[y[at]], rate)
+                n += len(y)
+        if n:
+            flat = np.concatenate([p.ravel() for p in learner.params])
+            chunks = [flat[k : k + CHUNK].tobytes() for k in range(0, len(flat), CHUNK)]
+            yield pa.RecordBatch.from_pydict({
+                "chunk": pa.array(range(len(chunks)), pa.int32()), "task": pa.array([task] * len(chunks), pa.int32()),
+                "n": pa.array([n] * len(chunks), pa.int64()), "numbers": pa.array(chunks, pa.binary())})
+
+    def mean(group: pa.Table) -> pa.Table:
+        found = sorted(group.to_pylist(), key=lambda r: r["task"])
+        weight = np.array([r["n"] for r in found], np.float64)
+        numbers = weight @ np.stack([np.frombuffer(r["numbers"], np.float32) for r in found]) / weight.sum()
+        return pa.table({"chunk": group["chunk"][:1], "numbers": pa.array([numbers.astype(np.float32).tobytes()], pa.binary())})
+
+    chunks = rows.select("text", "lang").mapInArrow(learn, "chunk int, task int, n long, numbers binary")
+    found = chunks.groupBy("chunk").applyInArrow(mean, "chunk int, numbers binary").collect()
+    if not found:
+        return params
+    flat = np.concatenate([np.frombuffer(r["numbers"], np.float32) for r in sorted(found, key=lambda r: r["chunk"])])
+    edges = np.cumsum([p.size for p in params])[:-1]
+    return [piece.reshape(p.shape).copy() for piece, p in zip(np.split(flat, edges), params, strict=True)]
+
+
 class Predictor:
     """The network with byte-pair tables, so that a filter of any width needs two look-ups at most."""
 
@@ -256,6 +360,92 @@ def calibrated(rows: list[tuple], model: Model) -> Gate:
     return Gate(known, 0.6 * share, 0.9 * share, floor + (score - floor) / 2)
 
 
+#: Shares and scores of documents are counted in steps of one in this many.
+GRID = 10_000
+#: Trigrams are handed over as bits, this many to a piece.
+PIECE = 1 << 12
+
+
+def known_trigrams(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """For every trigram whether one, and whether more than one, of the texts of all rows hold it."""
+
+    @released
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, again = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool)
+        for whole in batches:
+            for batch in slices(whole, 1 << 20):
+                for text in batch.column("text").to_pylist():
+                    found = np.unique(trigrams(text))
+                    again[found[once[found]]] = True
+                    once[found] = True
+        pieces = np.flatnonzero(once.reshape(-1, PIECE).any(1))
+        bits = [np.packbits(t.reshape(-1, PIECE)[pieces], axis=1) for t in (once, again)]
+        yield pa.RecordBatch.from_pydict({
+            "piece": pa.array(pieces, pa.int32()), "once": pa.array([b.tobytes() for b in bits[0]], pa.binary()),
+            "again": pa.array([b.tobytes() for b in bits[1]], pa.binary())})
+
+    def together(group: pa.Table) -> pa.Table:
+        once, again = np.zeros(PIECE // 8, np.uint8), np.zeros(PIECE // 8, np.uint8)
+        for r in group.to_pylist():
+            other = np.frombuffer(r["once"], np.uint8)
+            again |= np.frombuffer(r["again"], np.uint8) | (once & other)
+            once |= other
+        return pa.table({"piece": group["piece"][:1], "once": pa.array([once.tobytes()], pa.binary()), "again": pa.array([again.tobytes()], pa.binary())})
+
+    schema = "piece int, once binary, again binary"
+    found = rows.select("text").mapInArrow(seen, schema).groupBy("piece").applyInArrow(together, schema).collect()
+    tables = np.zeros((2, (1 << 24) // PIECE, PIECE // 8), np.uint8)
+    for r in found:
+        tables[:, r["piece"]] = np.frombuffer(r["once"], np.uint8), np.frombuffer(r["again"], np.uint8)
+    return tables[0].ravel(), tables[1].ravel()
+
+
+def reached(counts: dict[int, int], missing: float = 0.005) -> float:
+    """What all but a share of the counted documents reach."""
+    total, below = sum(counts.values()), 0
+    for step in sorted(counts):
+        below += counts[step]
+        if below > missing * total:
+            return step / GRID
+    return 0.0
+
+
+def keep_learned(docs: DataFrame, model: Model | None) -> DataFrame:
+    """:func:`keep_known` with a gate that all rows the model learned from have set.
+
+    The trigrams of all their texts are known. Every row gets its score and the shares of its trigrams
+    that are known and that at least two texts hold, once; limits as in :func:`calibrated`, on whole texts.
+    """
+    if model is None:
+        return keep_known(docs, None, None)
+    known, shared = known_trigrams(labelled(docs))
+    names = ["_score", "_known", "_shared"]
+    while set(names) & set(docs.columns):
+        names = ["_" + n for n in names]
+
+    @released
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.unpackbits(t).view(bool) for t in (known, shared)]
+        for batch, _, scores in predicted_batches(batches, model):
+            found = [trigrams(t) if has_letter(t) else None for t in batch.column("text").to_pylist()]
+            shares = [[None if f is None else float(t[f].mean()) for f in found] for t in tables]
+            scores = [None if f is None else s for f, s in zip(found, scores, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, pa.float64()) for v in (scores, *shares))], names=[*batch.schema.names, *names])
+
+    schema = StructType([*docs.schema.fields, *(StructField(n, DoubleType()) for n in names)])
+    rows = written(docs.mapInArrow(judge, schema), "judged")
+    score, known_share, shared_share = map(F.col, names)
+    learned = F.col("lang").isNotNull() & ~held_out() & score.isNotNull()
+    counts = [
+        {r["step"]: r["count"] for r in rows.filter(learned).groupBy(F.floor(c * GRID).alias("step")).count().collect()}
+        for c in (score, shared_share)
+    ]
+    sure, share = map(reached, counts)
+    floor = 1 / len(model.langs)
+    limit = F.when(score >= floor + (sure - floor) / 2, 0.6 * share).otherwise(0.9 * share)
+    return rows.filter(score.isNotNull() & (known_share >= limit)).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def keep_known(docs: DataFrame, model: Model | None, gate: Gate | None) -> DataFrame:
     """The rows, with all their columns, that have a letter and as many known trigrams as ``gate`` asks for.
 

@@ -103,3 +103,43 @@ def test_pipeline_rejects_unlearned_languages_and_keeps_the_rest(spark):
     blank = own.unionByName(planted).withColumn("lang", F.lit(None).cast("string"))
     unlabelled = corpus_pipeline.identify_language(spark, blank, SF)
     assert {r.doc_id for r in unlabelled.collect()} == clean | set(range(-len(PLANTED), 0))
+
+
+def test_pipeline_learns_from_every_labelled_row(spark, monkeypatch):
+    import corpus_pipeline
+
+    many = [(i, f"the usual text {prose(i % 40, 60)}", "en", "s", 1) for i in range(1500)]
+    rare = [(5000 + i, f"{w} " * 30, "en", "s", 1) for i, w in enumerate(["zqxj kwvy", "żółw źdźbło"] * 20)]
+    frame = spark.createDataFrame(many + rare, SCHEMA)
+    text_bytes = {i: t.encode() for i, t, *_ in many + rare}
+    once, again = (set(np.flatnonzero(np.unpackbits(t))) for t in language.known_trigrams(language.labelled(frame)))
+    learned = [language.trigrams(t.decode()) for i, t in text_bytes.items() if zlib.crc32(str(i).encode()) % 5]
+    seen, counts = np.unique(np.concatenate([np.unique(t) for t in learned]), return_counts=True)
+    assert once == set(seen) and again == set(seen[counts > 1])
+    steps = []
+    real = language.learned_side_by_side
+    monkeypatch.setattr(language, "MANY_WINDOWS", 100)
+    monkeypatch.setattr(language, "learned_side_by_side", lambda rows, *a: (steps.append(rows.count()), real(rows, *a))[1])
+    monkeypatch.setattr(language, "sampled", None)
+    kept = corpus_pipeline.identify_language(spark, frame, SF)
+    assert sum(steps) == len(learned) and min(steps) > 0
+    assert {r.doc_id for r in kept.collect()} == set(text_bytes)
+
+
+def test_network_learned_side_by_side(spark):
+    own = table(spark)
+    for frame, few in ((own, 10**9), (own.repartition(6), 100)):
+        model = language.train_on_all(frame)
+        rows = {r.doc_id: r for r in language.identify(frame, model).collect()}
+        unseen = [d for d in own.collect() if rows[d.doc_id].held_out and d.lang and d.n_chars >= 40]
+        assert sum(rows[d.doc_id].lang_pred == d.lang for d in unseen) / len(unseen) >= 0.9, few
+    data = prose(1, 300).encode()
+    windows = language.all_windows(data)
+    assert [bytes(w) for w in windows] == [data[k : k + language.WINDOW].ljust(language.WINDOW, b"\0") for k in range(0, len(data) - language.WINDOW + language.STEP, language.STEP)]
+    assert language.all_windows(b"").shape == (1, language.WINDOW)
+    assert language.train_on_all(own.limit(0)) is None
+
+
+def test_limit_is_what_all_but_a_share_reach():
+    assert language.reached({5000: 1, 9000: 999}) == 0.9 and language.reached({5000: 6, 9000: 994}) == 0.5
+    assert language.reached({10_000: 2}) == 1.0 and language.reached({}) == 0.0
