@@ -9,12 +9,13 @@ text in Spark tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -188,6 +189,18 @@ MANY_WINDOWS = 60_000
 CHUNK = 2048
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand whole texts to the workers in shorter batches: both sides hold a few of them at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def labelled(docs: DataFrame) -> DataFrame:
     """All rows that may be learned from."""
     return docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
@@ -255,7 +268,8 @@ def learned_side_by_side(rows: DataFrame, params: list[np.ndarray], langs: tuple
         return pa.table({"chunk": group["chunk"][:1], "numbers": pa.array([numbers.astype(np.float32).tobytes()], pa.binary())})
 
     chunks = rows.select("text", "lang").mapInArrow(learn, "chunk int, task int, n long, numbers binary")
-    found = chunks.groupBy("chunk").applyInArrow(mean, "chunk int, numbers binary").collect()
+    with short_batches(rows.sparkSession):
+        found = chunks.groupBy("chunk").applyInArrow(mean, "chunk int, numbers binary").collect()
     if not found:
         return params
     flat = np.concatenate([np.frombuffer(r["numbers"], np.float32) for r in sorted(found, key=lambda r: r["chunk"])])
@@ -371,15 +385,15 @@ def known_trigrams(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     @released
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, again = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool)
+        texts = np.zeros(1 << 24, np.uint8)  # 0, 1, or 2 for more than one
         for whole in batches:
             for batch in slices(whole, 1 << 20):
                 for text in batch.column("text").to_pylist():
                     found = np.unique(trigrams(text))
-                    again[found[once[found]]] = True
-                    once[found] = True
-        pieces = np.flatnonzero(once.reshape(-1, PIECE).any(1))
-        bits = [np.packbits(t.reshape(-1, PIECE)[pieces], axis=1) for t in (once, again)]
+                    texts[found] = np.minimum(texts[found] + 1, 2)
+        texts = texts.reshape(-1, PIECE)
+        pieces = np.flatnonzero([t.any() for t in texts])
+        bits = [np.packbits(texts[pieces] >= least, axis=1) for least in (1, 2)]
         yield pa.RecordBatch.from_pydict({
             "piece": pa.array(pieces, pa.int32()), "once": pa.array([b.tobytes() for b in bits[0]], pa.binary()),
             "again": pa.array([b.tobytes() for b in bits[1]], pa.binary())})
@@ -393,7 +407,8 @@ def known_trigrams(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return pa.table({"piece": group["piece"][:1], "once": pa.array([once.tobytes()], pa.binary()), "again": pa.array([again.tobytes()], pa.binary())})
 
     schema = "piece int, once binary, again binary"
-    found = rows.select("text").mapInArrow(seen, schema).groupBy("piece").applyInArrow(together, schema).collect()
+    with short_batches(rows.sparkSession):
+        found = rows.select("text").mapInArrow(seen, schema).groupBy("piece").applyInArrow(together, schema).collect()
     tables = np.zeros((2, (1 << 24) // PIECE, PIECE // 8), np.uint8)
     for r in found:
         tables[:, r["piece"]] = np.frombuffer(r["once"], np.uint8), np.frombuffer(r["again"], np.uint8)
@@ -425,15 +440,15 @@ def keep_learned(docs: DataFrame, model: Model | None) -> DataFrame:
 
     @released
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.unpackbits(t).view(bool) for t in (known, shared)]
         for batch, _, scores in predicted_batches(batches, model):
             found = [trigrams(t) if has_letter(t) else None for t in batch.column("text").to_pylist()]
-            shares = [[None if f is None else float(t[f].mean()) for f in found] for t in tables]
+            shares = [[None if f is None else float((t[f >> 3] >> (7 - (f & 7)) & 1).mean()) for f in found] for t in (known, shared)]
             scores = [None if f is None else s for f, s in zip(found, scores, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, pa.float64()) for v in (scores, *shares))], names=[*batch.schema.names, *names])
 
     schema = StructType([*docs.schema.fields, *(StructField(n, DoubleType()) for n in names)])
-    rows = written(docs.mapInArrow(judge, schema), "judged")
+    with short_batches(docs.sparkSession):
+        rows = written(docs.mapInArrow(judge, schema), "judged")
     score, known_share, shared_share = map(F.col, names)
     learned = F.col("lang").isNotNull() & ~held_out() & score.isNotNull()
     counts = [
