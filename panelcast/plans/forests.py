@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 # A task grows a node of this many different rows in some 200 MB.
 ROWS_IN_TASK = 200_000
+# Rows of this number are drawn for all trees at a time; blocks of fewer only add to their cost.
+ROWS_IN_DRAW = 10_000
+# Levels of a tree in a task whose nodes have this many rows or more on average add up all bins.
+ROWS_IN_DENSE = 32
 # Histograms of this many nodes are counted at a time, at most; each has features x bins x 2 numbers.
 NODES_AT_A_TIME = 1000
 # A row is drawn as often as a Poisson variable with mean 1.
@@ -29,11 +33,13 @@ def thresholds(rows: DataFrame, features: Sequence[str], bins: int) -> list[np.n
     parts = [i / bins for i in range(1, bins)]
     facts = rows.agg(*(F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(features)),
                      *(F.percentile_approx(c, parts, 10_000).alias(f"q{i}") for i, c in enumerate(features))).first()
+    some = [i for i in range(len(features)) if facts[f"n{i}"] <= 2 * bins]  # one job for all of them; so few values that a row holds them
+    sets = rows.agg(*(F.collect_set(features[i]).alias(f"s{i}") for i in some)).first() if some else {}
     found = []
-    for i, c in enumerate(features):
+    for i in range(len(features)):
         values = facts[f"q{i}"] or []
-        if facts[f"n{i}"] <= 2 * bins:
-            few = [r[0] for r in rows.select(c).distinct().limit(bins + 1).collect()]
+        if i in some:
+            few = np.unique(np.array(sets[f"s{i}"], np.float64))
             values = few if len(few) <= bins else values
         found.append(np.unique(np.array(values, np.float64))[: bins - 1])
     return found
@@ -86,49 +92,39 @@ class Top:
         return at
 
 
-def grown(bins: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, least: int, asked: np.ndarray, grid: float = 2.0**24) -> np.ndarray:
+def grown(bins: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, least: int, asked: np.ndarray, grid: float = 2.0**24,
+          dense: int = ROWS_IN_DENSE) -> np.ndarray:
     """Forecasts of the ``asked`` bins by one tree on all rows (features x rows), all nodes of a level at a time.
 
-    Every feature keeps the rows in order of node and bin. The split of a node leaves the least squared
-    error, the first feature and bin in a tie; nodes end where no split lessens it, or ``depth`` is reached.
-    Errors are judged on targets in steps of 1 / ``grid``, whose sums are exact in any order.
+    The split of a node leaves the least squared error, the first feature and bin in a tie; nodes end where no
+    split lessens it, or ``depth`` is reached. Levels whose nodes have ``dense`` rows or more on average add up
+    every bin of every node; below, every feature keeps the rows in order of node and bin. A node that no asked
+    row comes to has no forecast to give and is not split. Errors are judged on targets in steps of
+    1 / ``grid``, whose sums are exact in any order.
     """
     out, at = np.zeros(asked.shape[1]), np.zeros(asked.shape[1], np.int64)
     waiting = np.arange(asked.shape[1])
     wy, exact, left_of = w * (np.rint(y * grid) / grid), w * y, np.zeros(len(y), bool)
-    order, starts = np.argsort(bins, axis=1, kind="stable").astype(np.int32), np.zeros(1, np.int64)
+    wide, search = int(bins.max(initial=0)) + 1, dense_splits
+    order, starts = np.argsort(bins[:1], axis=1, kind="stable").astype(np.int32), np.zeros(1, np.int64)
     for level in range(depth + 1):
         rows = order[0]
         size = np.diff(np.append(starts, len(rows)))
         total, weight = np.add.reduceat(wy[rows], starts), np.add.reduceat(w[rows], starts)
         split = (np.maximum.reduceat(y[rows], starts) > np.minimum.reduceat(y[rows], starts)) & (level < depth)
+        split &= np.bincount(at, minlength=len(size)) > 0
         for measured in (False, True):
             if measured and split.any():
-                seg = np.repeat(np.arange(len(size)), size)
-                here = np.take_along_axis(bins, order, 1)
-                below, lower = np.cumsum(wy[order], axis=1), np.cumsum(w[order], axis=1)
-                below -= np.repeat((below - wy[order])[:, starts], size, axis=1)
-                lower -= np.repeat(np.cumsum(weight) - weight, size)
-                fits = np.zeros(here.shape, bool)
-                fits[:, :-1] = here[:, :-1] != here[:, 1:]
-                fits[:, starts + size - 1] = False
-                upper = weight[seg] - lower
-                fits &= (lower >= least) & (upper >= least)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = np.where(fits, below**2 / lower + (total[seg] - below) ** 2 / upper, -np.inf)
-                best = np.maximum.reduceat(gain, starts, axis=1)
-                feature = best.argmax(axis=0)
-                most = best.max(axis=0)
+                if search is dense_splits and len(order[0]) < dense * len(size):
+                    search, order = sorted_splits, in_order(bins, order[0], size)
+                most, feature, cut = search(bins, order, starts, size, w, wy, weight, total, least, wide)
                 split = most > total**2 / weight
-                hits = np.flatnonzero(gain[feature[seg], np.arange(len(seg))] == most[seg])
-                cut = here[feature, hits[np.unique(seg[hits], return_index=True)[1]]]
-                del here, below, lower, fits, upper, gain
             if split.all():
                 continue
             ends = ~split[at]  # rows to score whose node is not split get its mean
             out[waiting[ends]] = (np.add.reduceat(exact[order[0]], starts) / weight)[at[ends]]
             waiting, at = waiting[~ends], (np.cumsum(split) - 1)[at[~ends]]
-            order = order[:, np.repeat(split, size)]
+            order = np.compress(np.repeat(split, size), order, axis=1)
             total, weight, size = total[split], weight[split], size[split]
             starts = np.cumsum(size) - size
             if measured and split.any():
@@ -139,16 +135,83 @@ def grown(bins: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, least: int
         seg, rows = np.repeat(np.arange(len(size)), size), order[0]
         left_of[rows] = bins[feature[seg], rows] <= cut[seg]
         lefts = np.add.reduceat(left_of[rows].astype(np.int64), starts)
-        goes = left_of[order]
-        seen = np.cumsum(goes, axis=1) - np.repeat(np.cumsum(lefts) - lefts, size)
-        place = np.where(goes, starts[seg] + seen - 1, lefts[seg] + np.arange(len(seg)) - seen)
+        left_from, right_from = np.cumsum(lefts) - lefts, np.cumsum(size - lefts) - (size - lefts)
+        place = np.empty(len(rows), np.int64)  # where the n-th row that goes left, or right, comes to lie
+        n = lefts.sum()
+        place[:n] = np.arange(n) + np.repeat(starts - left_from, lefts)
+        place[n:] = np.arange(len(rows) - n) + np.repeat(starts + lefts - right_from, size - lefts)
         moved = np.empty_like(order)
-        np.put_along_axis(moved, place, order, 1)
+        for o, m in zip(order, moved, strict=True):
+            goes = left_of[o]
+            m[place] = np.concatenate([o[goes], o[~goes]])
         at = 2 * at + (asked[feature[at], waiting] > cut[at])
         order, starts = moved, np.stack([starts, starts + lefts], 1).ravel()
     return out
 
 
+def in_order(bins: np.ndarray, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of every feature the rows by node and bin, from the rows by node."""
+    kind = np.uint16 if len(size) <= 1 << 16 else np.int64
+    node, here = np.repeat(np.arange(len(size)), size).astype(kind), bins[:, rows]
+    order = np.empty(here.shape, np.int32)
+    for f, b in enumerate(here):
+        by_bin = np.argsort(b, kind="stable")
+        order[f] = rows[by_bin[np.argsort(node[by_bin], kind="stable")]]
+    return order
+
+
+def dense_splits(bins, order, starts, size, w, wy, weight, total, least, wide):
+    """Gain, feature and bin of the best split of every node, from the sums of all bins of all nodes."""
+    rows, k = order[0], len(size)
+    base, here = np.repeat(np.arange(k) * wide, size), bins[:, order[0]]
+    wr, wyr, each = w[rows], wy[rows], np.arange(k)
+    most, feature, cut = np.full(k, -np.inf), np.zeros(k, np.int64), np.zeros(k, bins.dtype)
+    for f in range(len(bins)):
+        cell = base + here[f]
+        lower = np.cumsum(np.bincount(cell, wr, k * wide).reshape(k, wide), axis=1)
+        below = np.cumsum(np.bincount(cell, wyr, k * wide).reshape(k, wide), axis=1)
+        gain = gains(lower, below, weight[:, None], total[:, None], max(least, 0.5))
+        best = gain.argmax(axis=1)
+        better = gain[each, best] > most
+        most[better], feature[better], cut[better] = gain[each, best][better], f, best[better]
+    return most, feature, cut
+
+
+def sorted_splits(bins, order, starts, size, w, wy, weight, total, least, wide):
+    """The same from the rows in order of node and bin, where most bins of a node are empty."""
+    k, last = len(size), starts + size - 1
+    seg, before = np.repeat(np.arange(k), size), np.cumsum(weight) - weight
+    summed = np.cumsum(total) - total  # exact, as all sums of the targets in steps
+    most, feature, cut = np.full(k, -np.inf), np.zeros(k, np.int64), np.zeros(k, bins.dtype)
+    for f, o in enumerate(order):
+        here = bins[f][o]
+        differs = here[:-1] != here[1:]
+        differs[last[:-1]] = False
+        edge = np.flatnonzero(differs)  # a split is only judged where the bin changes inside a node
+        if not len(edge):
+            continue
+        node = seg[edge]
+        lower, below = np.cumsum(w[o])[edge] - before[node], np.cumsum(wy[o])[edge] - summed[node]
+        gain = gains(lower, below, weight[node], total[node], least)
+        first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        mine = node[first]
+        best = np.maximum.reduceat(gain, first)
+        better = best > most[mine]
+        hits = np.flatnonzero(gain == np.repeat(best, np.diff(np.append(first, len(gain)))))
+        at = hits[np.searchsorted(hits, first)][better]
+        most[mine[better]], feature[mine[better]], cut[mine[better]] = best[better], f, here[edge[at]]
+    return most, feature, cut
+
+
+def gains(lower: np.ndarray, below: np.ndarray, weight: np.ndarray, total: np.ndarray, least: float) -> np.ndarray:
+    """What a split with weight ``lower`` and sum ``below`` on its left side takes off the squared error, plus a constant."""
+    upper = weight - lower
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = below**2 / lower + (total - below) ** 2 / upper
+    gain[(lower < least) | (upper < least)] = -np.inf
+    return gain
+
+
 def best_split(histogram: np.ndarray, least: int) -> tuple[int, int] | None:
     """Feature and bin of the best split from (features x bins x weight and sum), None if none is better."""
     lower, below = np.cumsum(histogram, axis=1).transpose(2, 0, 1)
@@ -162,9 +225,10 @@ def best_split(histogram: np.ndarray, least: int) -> tuple[int, int] | None:
 
 @dataclass(frozen=True)
 class DeepForest:
-    """``trees`` trees on the rows of ``kept``: the features as ``x0..``, ``y``, ``key`` and ``copies``."""
+    """``trees`` trees on the ``different`` rows of ``kept``: the features as ``x0..``, ``y``, ``key`` and ``copies``."""
 
     kept: DataFrame
+    different: int
     features: tuple[str, ...]
     limits: list[np.ndarray]
     mean: float
@@ -179,11 +243,16 @@ class DeepForest:
     def names(self) -> list[str]:
         return [f"x{i}" for i in range(len(self.features))]
 
+    @property
+    def dealt(self) -> DataFrame:
+        """``kept`` in tasks of many rows, whatever number of partitions it has."""
+        return self.kept.coalesce(max(1, -(-self.different // ROWS_IN_DRAW)))
+
     def tops(self) -> list[Top]:
         """The nodes with more rows than a task takes, split from histograms over all rows."""
         limits, names, trees, seed, mean, least, grid = self.limits, self.names, self.trees, self.seed, self.mean, self.least, self.grid
         tops = [Top() for _ in range(trees)]
-        if self.kept.count() <= self.rows_in_task:
+        if self.different <= self.rows_in_task:
             return tops
         wide, shape = max(len(t) for t in limits) + 1, (len(names), max(len(t) for t in limits) + 1, 2)
         waiting = [(t, 0) for t in range(trees)]
@@ -223,7 +292,7 @@ class DeepForest:
                                  "feature": pa.array([feature], pa.int32()), "cut": pa.array([cut], pa.int32()),
                                  "value": [float(value / weight) if weight else 0.0]})
 
-            counted = self.kept.mapInArrow(histograms, "tree int, node int, n long, sums binary").groupBy("tree", "node")
+            counted = self.dealt.mapInArrow(histograms, "tree int, node int, n long, sums binary").groupBy("tree", "node")
             found = counted.applyInArrow(judged, "tree int, node int, n long, feature int, cut int, value double").collect()
             for r in sorted(found, key=lambda r: (r.tree, r.node)):
                 top = tops[r.tree]
@@ -296,7 +365,7 @@ class DeepForest:
             return pa.table({"_mark0": marks[:, 0], "_mark1": marks[:, 1], "value": value + mean})
 
         groups = sum(f < 0 for top in tops for f in top.feature)
-        packed = self.kept.mapInArrow(learned, schema).unionByName(asked.mapInArrow(to_score, schema))
+        packed = self.dealt.mapInArrow(learned, schema).unionByName(asked.mapInArrow(to_score, schema))
         dealt = packed.repartition(groups, "tree", "node").groupBy("tree", "node")
         values = dealt.applyInArrow(scored, "_mark0 long, _mark1 long, value double").groupBy("_mark0", "_mark1").agg(
             F.array_sort(F.collect_list("value")).alias("_values"))
@@ -312,8 +381,8 @@ def deep_forest(rows: DataFrame, features: Sequence[str], target: str, trees: in
     plain = rows.select(*(F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)), F.col(target).cast("double").alias("y"))
     limits = thresholds(plain, names, bins)
     kept = plain.groupBy(*names, "y").agg(F.count(F.lit(1)).alias("copies")).withColumn("key", F.xxhash64(*names, "y")).persist()
-    facts = kept.agg(F.sum("copies").alias("n"), (F.sum(F.col("y") * F.col("copies")) / F.sum("copies")).alias("mean"),
+    facts = kept.agg(F.count(F.lit(1)).alias("different"), F.sum("copies").alias("n"), (F.sum(F.col("y") * F.col("copies")) / F.sum("copies")).alias("mean"),
                      (F.max("y") - F.min("y")).alias("width")).first()
     # the middle is rounded, since the sum of doubles behind it depends on their order
     grid = 2.0 ** min(30, np.floor(np.log2(2.0**50 / (facts["n"] * max(facts["width"], 1e-9)))))  # no sum of a tree reaches 2**53 steps
-    return DeepForest(kept, tuple(features), limits, round(facts["mean"], 3), trees, depth, least, seed, rows_in_task, float(grid))
+    return DeepForest(kept, facts["different"], tuple(features), limits, round(facts["mean"], 3), trees, depth, least, seed, rows_in_task, float(grid))

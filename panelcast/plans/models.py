@@ -17,7 +17,7 @@ from panelcast.operators.enrich import attach_names
 from panelcast.operators.rank import top_by_group, top_overall
 from panelcast.operators.report import with_errors, worst_first
 from panelcast.operators.snapshot import next_period_rows
-from panelcast.plans.forests import DeepForest, deep_forest
+from panelcast.plans.forests import ROWS_IN_DRAW, DeepForest, deep_forest
 from panelcast.plans.model_table import (
     EXTENDED_BASIC,
     FEATURE_SETS,
@@ -232,7 +232,8 @@ class ScoringModel:
 
 def scoring_model(train: DataFrame, features: Sequence[str] = EXTENDED_BASIC, settings: Settings = Settings(), target: str = TARGET) -> ScoringModel:
     """A forest for scoring, behind medians of the training rows for features missing at scoring time."""
-    rows = aligned(as_doubles(train, features), features, target).select(target, *features).persist()
+    rows = aligned(as_doubles(train, features), features, target).select(target, *features)
+    rows = rows.coalesce(max(1, -(-rows.count() // ROWS_IN_DRAW))).persist()
     filled = Imputer(strategy="median", inputCols=list(features), outputCols=[f"{c}_filled" for c in features]).fit(rows)
     inputs = rows.select(target, *(F.col(c).alias(f"{c}_filled") for c in features))
     trees = deep_forest(

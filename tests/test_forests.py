@@ -32,6 +32,43 @@ def test_levels_grow_the_tree_of_plain_recursion(depth, least):
         np.testing.assert_allclose(got, [plain_tree(bins, y, w, depth, least, a) for a in asked.T], atol=1e-9)
 
 
+@pytest.mark.parametrize("dense", [1, 20, 10**9])
+def test_sums_of_bins_and_ordered_rows_split_alike(dense):
+    rng = np.random.default_rng(5)
+    bins, w, asked = rng.integers(0, 7, (3, 300)).astype(np.uint8), rng.integers(1, 4, 300).astype(float), rng.integers(0, 7, (3, 20)).astype(np.uint8)
+    y = np.round(rng.normal(size=300), 1)
+    for f in (1, 3):
+        got = forests.grown(bins[:f], y, w, 30, 1, asked[:f], dense=dense)
+        np.testing.assert_allclose(got, [plain_tree(bins[:f], y, w, 30, 1, a) for a in asked[:f].T], atol=1e-9)
+
+
+def test_nodes_without_a_row_to_score_are_not_split(monkeypatch):
+    rng, nodes = np.random.default_rng(6), []
+    search = forests.dense_splits
+    monkeypatch.setattr(forests, "dense_splits", lambda bins, order, starts, *rest: nodes.append(len(starts)) or search(bins, order, starts, *rest))
+    bins, y = rng.integers(0, 60, (3, 2000)).astype(np.uint8), rng.normal(size=2000)
+    forests.grown(bins, y, np.ones(2000), 30, 1, bins[:, :1], dense=0)
+    assert len(nodes) > 5 and max(nodes) == 1
+
+
+def test_rows_in_many_partitions_are_drawn_in_few_tasks(spark):
+    df = league(spark, 300).repartition(40)
+    forest = forests.deep_forest(df, ["a", "b", "c"], "y", 3, 30, 32, 1, 7)
+    assert forest.different == 300 and forest.dealt.rdd.getNumPartitions() == 1
+    assert scores(forest, df) == scores(forests.deep_forest(df.coalesce(1), ["a", "b", "c"], "y", 3, 30, 32, 1, 7), df)
+
+
+def test_values_of_all_features_are_read_in_one_job(spark):
+    df = spark.createDataFrame([(float(i % 3), float(i % 4), float(i % 5), float(i)) for i in range(200)], "a double, b double, c double, d double")
+    spark.sparkContext.setJobGroup("limits", "")
+    try:
+        found = forests.thresholds(df, ["a", "b", "c", "d"], 8)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [list(t) for t in found[:3]] == [[0, 1, 2], [0, 1, 2, 3], [0, 1, 2, 3, 4]] and len(found[3]) == 7
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("limits")) <= 4  # one of two stages, or one each, for quantiles and for values
+
+
 def league(spark, n=1500, copies=1):
     rng = np.random.default_rng(4)
     x = np.round(rng.normal(size=(n, 2)), 3)
