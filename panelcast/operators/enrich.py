@@ -1,8 +1,9 @@
 """Attach dimensions and fixtures to panel rows.
 
-No join here is forced, and none starts a job: the optimizer broadcasts a side whose files are known to
-be small, and where only the running query can tell, adaptive execution does, by the bytes that side
-has come to. Entity maps share the partitioning of the rolling windows.
+No join here starts a job. Team and fixture tables are left to the optimizer, which broadcasts a side whose
+files are known to be small, and where only the running query can tell, adaptive execution does, by the bytes
+that side has come to. Entity maps grow with the entities, and few compressed bytes of them fill hundreds of
+megabytes as a hash table; they are merged, in the partitioning and order of the rolling windows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[str], suffix: str
 def attach_team(df: DataFrame, members: DataFrame, season: str = "season", entity: str = "id", member: str = "player_id") -> DataFrame:
     """Add each entity's team of the season; an unknown entity gets null."""
     teams = members.select(season, F.col(member).alias(entity), "team_code")
-    return left_lookup(df, teams, [season, entity])
+    return left_lookup(df, teams.hint("merge"), [season, entity])
 
 
 def attach_fixtures(df: DataFrame, fixtures: DataFrame, on: Sequence[str] = ("season", "gameweek", "team_code")) -> DataFrame:
@@ -78,4 +79,4 @@ def entity_names(members: DataFrame, teams: DataFrame, season: str = "season") -
 
 def attach_names(df: DataFrame, names: DataFrame, season: str = "season", entity: str = "id") -> DataFrame:
     """Add readable names; the key has another name on the right side."""
-    return left_lookup(df, names.withColumnRenamed("player_id", entity), [season, entity])
+    return left_lookup(df, names.withColumnRenamed("player_id", entity).hint("merge"), [season, entity])

@@ -259,7 +259,7 @@ def rolling_bucketed(spark, sf_dir):
 def clashing_lookup(spark, sf_dir):
     """A lookup that has a column of the rows' own: it gets a suffix."""
     members = roles.members(spark, sf_dir).select("season", F.col("player_id").alias("id"), F.col("team_code").alias("minutes"), "position")
-    return left_lookup(roles.panel(spark, sf_dir).select("season", "gameweek", "id", "minutes"), members, ["season", "id"])
+    return left_lookup(roles.panel(spark, sf_dir).select("season", "gameweek", "id", "minutes"), members.hint("merge"), ["season", "id"])
 
 
 ORDER_SPECS = (

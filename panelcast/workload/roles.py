@@ -170,7 +170,7 @@ def naive_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast = mean of the last three targets, for the current season, with names in other letters."""
     rolled = rolling_features(with_form_inputs(panel(spark, sf_dir)))
     rows = rolled.where((F.col("season") == CURRENT) & F.col("pts_avg_last3").isNotNull())
-    named = rows.join(names(spark, sf_dir).withColumnRenamed("player_id", "id"), ["season", "id"])
+    named = rows.join(names(spark, sf_dir).withColumnRenamed("player_id", "id").hint("merge"), ["season", "id"])
     suffix = F.when(F.col("position") == "BUILDING", F.lit(" jr")).otherwise(F.lit(""))
     return named.select(
         "gameweek",
@@ -184,7 +184,7 @@ def naive_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def named_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets of the current season with names; in every third period half of the names are misspelt."""
     rows = panel(spark, sf_dir).where(F.col("season") == CURRENT).select("season", "gameweek", "id", "event_points")
-    named = rows.join(names(spark, sf_dir).withColumnRenamed("player_id", "id"), ["season", "id"])
+    named = rows.join(names(spark, sf_dir).withColumnRenamed("player_id", "id").hint("merge"), ["season", "id"])
     misspelt = (F.col("gameweek") % 3 == 0) & (F.col("id") % 2 == 0)
     return named.select(
         "season", "gameweek", "id", "event_points",

@@ -1,11 +1,12 @@
 """Joins whose kind is decided by bytes while the query runs, and counts taken on the way."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from panelcast.operators.counted import Counts
-from panelcast.operators.enrich import attach_fixtures, attach_opponent_strength, entity_names
+from panelcast.operators.enrich import attach_fixtures, attach_names, attach_opponent_strength, attach_team, entity_names
 from panelcast.operators.report import pending
 from panelcast.plans.model_table import model_table
 from panelcast.workload import roles
@@ -55,6 +56,16 @@ def test_bytes_decide_the_join_and_not_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_entity_maps_are_not_broadcast(spark):
+    """Tables that grow with the entities never pass through the driver, however few bytes their files have."""
+    panel, members = roles.panel(spark, SF_DIR), roles.members(spark, SF_DIR)
+    for rows in (attach_team(panel, members), attach_names(panel, members.drop("team_code")), roles.naive_forecasts(spark, SF_DIR).drop("team_short"),
+                 roles.named_actuals(spark, SF_DIR).drop("team_short")):
+        assert re.search(r"SortMergeJoin \[season#\d+, id#\d+L\]", plan := final_plan(rows))
+        assert not re.search(r"BroadcastHashJoin \[season#\d+, id#", plan)
+    assert attach_team(panel, members).count() == panel.count()
+
+
 def test_columns_that_clash_get_a_suffix(spark):
     df = spark.createDataFrame([("s", 1, 5, "mine", 1)], "season string, gameweek int, team_code long, note string, is_home int")
     fixtures = spark.createDataFrame([("s", 1, 5, 7, "theirs")], "season string, gameweek int, team_code long, opp_code long, note string")
